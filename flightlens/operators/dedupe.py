@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REPORT_KEY = ("icao24", "time_position")
@@ -18,9 +20,7 @@ def first_reports(df: DataFrame, keys: Sequence[str] = REPORT_KEY, arrival: str
     rows stays cheap.
     """
     others = [c for c in df.columns if c not in keys and c != arrival]
-    identified = F.lit(True)
-    for key in keys:
-        identified = identified & F.col(key).isNotNull()
+    identified = _identified(keys)
     kept = (
         df.filter(identified)
         .groupBy(*keys)
@@ -34,5 +34,12 @@ def first_reports(df: DataFrame, keys: Sequence[str] = REPORT_KEY, arrival: str
 def first_reports_in_stream(
     df: DataFrame, delay: str, keys: Sequence[str] = REPORT_KEY, arrival: str = "fetch_time"
 ) -> DataFrame:
-    """Streaming form: state of a report is kept until ``delay`` after its arrival."""
-    return df.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(list(keys))
+    """Streaming form: a report is remembered until ``delay`` after its arrival."""
+    identified = _identified(keys)
+    timed = df.withWatermark(arrival, delay)
+    kept = timed.filter(identified).dropDuplicatesWithinWatermark(list(keys))
+    return kept.unionByName(timed.filter(~identified))
+
+
+def _identified(keys: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(key).isNotNull() for key in keys))

@@ -53,3 +53,58 @@ def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table shaped as raw position reports, one per event."""
     return _numbered(spark, sf_dir).select(*RAW_FLIGHTS.names)
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reports as poll payloads: JSON text, up to 1,200 records each.
+
+    Elements come in the mixed shapes a poll can have: numbers as text, whole
+    numbers with a fraction, flags as numbers or words, short records, unreadable
+    values, records that are no list or too long, and one payload in five cut off.
+    """
+    number = F.col("event_id")
+
+    def quoted(value: Column) -> Column:
+        return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
+
+    def plain(name: str) -> Column:
+        return F.col(name).cast("string")
+
+    spi = F.col("spi")
+    elements = [
+        quoted(F.col("icao24")),
+        F.when(number % 223 == 0, quoted(F.repeat(F.lit("X"), 25))).otherwise(quoted(F.col("callsign"))),
+        quoted(F.col("origin_country")),
+        F.when(number % 5 == 0, F.concat(plain("time_position"), F.lit(".7")))
+        .when(number % 5 == 1, quoted(F.concat(F.lit(" "), plain("time_position"), F.lit(" "))))
+        .otherwise(plain("time_position")),
+        plain("last_contact"),
+        F.when(number % 6 == 0, quoted(F.col("longitude"))).otherwise(plain("longitude")),
+        plain("latitude"),
+        F.when(number % 47 == 0, F.lit('"x"')).otherwise(plain("baro_altitude")),
+        plain("on_ground"),
+        F.when(number % 8 == 0, quoted(F.col("velocity"))).otherwise(plain("velocity")),
+        plain("heading"),
+        plain("vertical_rate"),
+        plain("geo_altitude"),
+        quoted(F.col("squawk")),
+        F.when(number % 3 == 0, spi.cast("int").cast("string"))
+        .when(number % 3 == 1, F.when(spi, F.lit('"YES"')).otherwise(F.lit('"nope"')))
+        .otherwise(plain("spi")),
+        F.when(number % 31 == 0, F.lit("true")).otherwise(plain("position_source")),
+    ]
+    listed = F.array(*[F.coalesce(element, F.lit("null")) for element in elements])
+    kept = F.when(number % 43 == 0, F.slice(listed, 1, 12)).otherwise(listed)
+    record = F.when(number % 211 == 0, F.lit("7")).otherwise(
+        F.concat(F.lit("["), F.array_join(kept, ","), F.lit("]"))
+    )
+    payload = F.call_function("div", number, F.lit(PER_PAYLOAD))
+    records = F.array_join(F.transform(F.array_sort("_records"), lambda r: r["record"]), ",")
+    end = F.when(F.col("payload_id") % 5 == 4, F.lit("")).otherwise(F.lit("]}"))
+    return (
+        _numbered(spark, sf_dir)
+        .select(payload.alias("payload_id"), F.struct(number, record.alias("record")).alias("_one"))
+        .groupBy("payload_id")
+        .agg(F.collect_list("_one").alias("_records"))
+        .select("payload_id", F.concat(F.lit('{"states":['), records, end).alias("value"))
+    )
