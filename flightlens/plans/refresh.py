@@ -74,7 +74,7 @@ def refresh(
 
     rows, observed = quality.observe_load(publishable(reports.ranked_flights(base, scaling)), "enriched")
     publish_parquet(rows, f"{out}/{ENRICHED_LAYOUT.name}", ENRICHED_LAYOUT)
-    written[ENRICHED_LAYOUT.name] = observed.get["total_rows"]
+    written[ENRICHED_LAYOUT.name] = quality.observed_rows(observed)
     aside[ENRICHED_LAYOUT.name] = _set_aside(quarantined_reports(base), out, ENRICHED_LAYOUT)
 
     for layout, summary in (
@@ -140,7 +140,7 @@ def _publish_summary(summary: DataFrame, out: str, layout: Layout) -> tuple[int,
 def _set_aside(rows: DataFrame, out: str, layout: Layout) -> int:
     rows, observed = quality.observe_load(rows, "quarantine")
     rows.write.mode("overwrite").parquet(f"{out}/quarantine/{layout.name}")
-    return observed.get["total_rows"]
+    return quality.observed_rows(observed)
 
 
 def _log(

@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
@@ -84,6 +83,5 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    seen = Observation()
-    written = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return written, seen.get["rows"]
+    written = df.checkpoint(eager=True)
+    return written, written.count()

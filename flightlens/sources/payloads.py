@@ -36,8 +36,9 @@ def read_payload_files(spark: SparkSession, path: str, one_per_line: bool = Fals
     small file per poll.
     """
     return (
-        spark.read.option("wholetext", not one_per_line)
-        .text(path)
+        spark.read.format("text")
+        .option("wholetext", not one_per_line)
+        .load(path)
         .select("value", "_metadata.file_path", "_metadata.file_modification_time")
     )
 
@@ -79,6 +80,7 @@ def type_states(
     checks: dict[str, Column] = {"not_a_list": F.col("_fields").isNull()}
     for field in RAW_FLIGHTS:
         if field.name not in elements:
+            typed[field.name] = F.lit(None).cast(field.dataType)
             continue
         kind, element = field.dataType.simpleString(), elements[field.name]
         if field.name == "spi":
