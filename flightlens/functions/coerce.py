@@ -15,50 +15,54 @@ SPI_TRUE = ("true", "1", "yes")
 FLAG_TRUE = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
 FLAG_FALSE = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0")
 
-_WHOLE = r"^[+-]?\d+$"
-_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
-_INFINITE = r"^[+-]?inf(inity)?$"
-_NOT_A_NUMBER = r"^[+-]?nan$"
+# Texts read as numbers.  Casts alone would also take "12.5d" and "0x1p3".
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_REAL = r"(?i)^\s*([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?|nan)\s*$"
 
 
 def _kind(element: Column) -> Column:
-    """STRING, BOOLEAN, VOID, BIGINT, DOUBLE, DECIMAL, ARRAY or OBJECT."""
-    return F.regexp_extract(F.schema_of_variant(element), r"^([A-Z]+)", 1)
+    """STRING, BOOLEAN, VOID, BIGINT, DOUBLE, DECIMAL(p,s), ARRAY<...> or OBJECT<...>."""
+    return F.schema_of_variant(element)
+
+
+def _is_number(element: Column) -> Column:
+    kind = _kind(element)
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
 def _read(element: Column, as_type: str) -> Column:
     return F.try_variant_get(element, "$", as_type)
 
 
-def _number_text(element: Column) -> Column:
-    """Text of a number: outer blanks and digit-group underscores removed."""
-    text = F.lower(F.regexp_replace(_read(element, "string"), r"^\s+|\s+$", ""))
-    return F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
+def _digits(element: Column) -> Column:
+    """Text of a number, without the underscores that may group its digits."""
+    text = _read(element, "string")
+    grouped = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
+    return F.when(text.contains("_"), grouped).otherwise(text)
+
+
+def _from_text(element: Column, pattern: str, as_type: str) -> Column:
+    digits = _digits(element)
+    return F.when(digits.rlike(pattern), F.trim(digits).try_cast(as_type))
 
 
 def to_double(element: Column) -> Column:
-    text = _number_text(element)
-    from_text = (
-        F.when(text.rlike(_DECIMAL) | text.rlike(_INFINITE), text.try_cast("double"))
-        .when(text.rlike(_NOT_A_NUMBER), F.lit(float("nan")))
+    return F.when(_kind(element) == "STRING", _from_text(element, _REAL, "double")).otherwise(
+        _read(element, "double")
     )
-    return F.when(_kind(element) == "STRING", from_text).otherwise(_read(element, "double"))
 
 
 def to_long(element: Column) -> Column:
     """Fractions are cut toward zero, but only for numbers: ``"12.7"`` is NULL."""
-    text = _number_text(element)
-    from_text = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
-    return F.when(_kind(element) == "STRING", from_text).otherwise(_read(element, "bigint"))
+    return F.when(_kind(element) == "STRING", _from_text(element, _WHOLE, "bigint")).otherwise(
+        _read(element, "bigint")
+    )
 
 
-def long_overflows(element: Column) -> Column:
-    """True for a whole number that 64 bits cannot hold."""
-    kind = _kind(element)
-    looks_whole = ((kind == "STRING") & _number_text(element).rlike(_WHOLE)) | kind.isin(
-        "BIGINT", "DECIMAL", "DOUBLE", "FLOAT"
-    )
-    return F.coalesce(looks_whole & to_long(element).isNull(), F.lit(False))
+def is_whole(element: Column) -> Column:
+    """Something that :func:`to_long` reads unless it has too many digits."""
+    text = (_kind(element) == "STRING") & _digits(element).rlike(_WHOLE)
+    return F.coalesce(text | _is_number(element), F.lit(False))
 
 
 def to_text(element: Column) -> Column:
@@ -71,23 +75,14 @@ def to_spi(element: Column) -> Column:
     """Numbers count when nonzero, texts when in :data:`SPI_TRUE`, anything else is false."""
     kind = _kind(element)
     return (
-        F.when(kind == "VOID", F.lit(None).cast("boolean"))
+        F.when((kind == "BOOLEAN") | _is_number(element), _read(element, "boolean"))
         .when(kind == "STRING", F.lower(_read(element, "string")).isin(*SPI_TRUE))
-        .when(kind.isin("ARRAY", "OBJECT"), F.lit(False))
-        .otherwise(_read(element, "boolean"))
+        .when(kind != "VOID", F.lit(False))
     )
 
 
-def _flag_text(element: Column) -> Column:
-    return F.lower(F.regexp_replace(to_text(element), r"^\s+|\s+$", ""))
-
-
 def to_flag(element: Column) -> Column:
     """Boolean column fed with text: :data:`FLAG_TRUE`, :data:`FLAG_FALSE`, else NULL."""
-    text = _flag_text(element)
-    return F.when(text.isin(*FLAG_TRUE), True).when(text.isin(*FLAG_FALSE), False)
-
-
-def flag_unreadable(element: Column) -> Column:
-    """True for a present value that is neither a true nor a false text."""
-    return _flag_text(element).isNotNull() & to_flag(element).isNull()
+    text = F.lower(F.regexp_replace(_read(element, "string"), r"^\s+|\s+$", ""))
+    read = F.when(text.isin(*FLAG_TRUE), True).when(text.isin(*FLAG_FALSE), False)
+    return F.when(_kind(element) == "BOOLEAN", _read(element, "boolean")).otherwise(read)

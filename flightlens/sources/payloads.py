@@ -26,6 +26,7 @@ _READERS = {
     "double": coerce.to_double,
     "bigint": coerce.to_long,
     "int": coerce.to_long,
+    "boolean": coerce.to_flag,
 }
 
 
@@ -57,10 +58,15 @@ def parse_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
     return parsed.withColumn("payload_status", status).drop("_json")
 
 
-def explode_states(parsed: DataFrame, cap: int | None = PAYLOAD_CAP) -> DataFrame:
-    """One row per record (``position``, ``state``), the first ``cap`` of each payload."""
+def explode_states(
+    parsed: DataFrame, cap: int | None = PAYLOAD_CAP, text: str = "value"
+) -> DataFrame:
+    """One row per record (``position``, ``state``), the first ``cap`` of each payload.
+
+    The payload text stays behind: it would be copied onto each of its records.
+    """
     states = F.col("states") if cap is None else F.slice("states", 1, cap)
-    others = [c for c in parsed.columns if c not in ("states", "payload_status")]
+    others = [c for c in parsed.columns if c not in (text, "states", "payload_status")]
     loadable = parsed.filter(F.col("payload_status") == OK)
     return loadable.select(*others, F.posexplode(states).alias("position", "state"))
 
@@ -77,26 +83,22 @@ def type_states(
     elements = {name: F.get("_fields", F.lit(i)) for name, i in positions.items()}
 
     typed: dict[str, Column] = {}
+    # Each looks at the element again only where the typed value came out NULL.
     checks: dict[str, Column] = {"not_a_list": F.col("_fields").isNull()}
     for field in RAW_FLIGHTS:
-        if field.name not in elements:
-            typed[field.name] = F.lit(None).cast(field.dataType)
-            continue
-        kind, element = field.dataType.simpleString(), elements[field.name]
-        if field.name == "spi":
-            typed[field.name] = coerce.to_spi(element)
-        elif kind == "boolean":
-            typed[field.name] = coerce.to_flag(element)
-            checks[f"{field.name}_unreadable"] = coerce.flag_unreadable(element)
+        name, kind = field.name, field.dataType.simpleString()
+        if name not in elements:
+            typed[name] = F.lit(None).cast(field.dataType)
+        elif name == "spi":
+            typed[name] = coerce.to_spi(elements[name])
         else:
-            typed[field.name] = _READERS[kind](element).try_cast(field.dataType)
-        if kind == "bigint":
-            checks[f"{field.name}_out_of_range"] = coerce.long_overflows(element)
-        elif kind == "int":
-            whole = coerce.to_long(element)
-            checks[f"{field.name}_out_of_range"] = coerce.long_overflows(element) | (
-                whole.isNotNull() & whole.try_cast("int").isNull()
-            )
+            typed[name] = _READERS[kind](elements[name]).try_cast(field.dataType)
+            if kind == "boolean":
+                present = coerce.to_text(elements[name]).isNotNull()
+                checks[f"{name}_unreadable"] = F.col(name).isNull() & present
+            elif kind in ("bigint", "int"):
+                whole = coerce.is_whole(elements[name])
+                checks[f"{name}_out_of_range"] = F.col(name).isNull() & whole
     rows = listed.withColumns({**typed, "fetch_time": fetch_time})
     rows = quality.with_reasons(rows, {**checks, **quality.text_length_checks()})
     return rows.drop("_fields")
