@@ -54,20 +54,6 @@ def join_lookup(
     return _salted_join(rows, lookup, counts, scaling)
 
 
-def largest_keys(counts: DataFrame, keys: Sequence[str], count: str, scaling: Scaling) -> DataFrame:
-    """Keys with at least ``rows_per_salt`` rows, the ``hot_keys`` largest of them.
-
-    Small enough to broadcast whatever the data: at most ``hot_keys`` rows.  Any
-    key left out holds less than ``1 / hot_keys`` of all rows.
-    """
-    return (
-        counts.filter(F.col(count) >= scaling.rows_per_salt)
-        .orderBy(F.desc(count), *keys)
-        .limit(scaling.hot_keys)
-        .select(*keys, count)
-    )
-
-
 def _salted_join(
     rows: DataFrame, lookup: DataFrame, counts: KeyCounts, scaling: Scaling
 ) -> DataFrame:
@@ -77,11 +63,18 @@ def _salted_join(
     salt of the task that reads it, so re-running a lost task routes its rows
     the same way and identical rows still spread.  Rows of other keys take salt
     0, which every key has, so each row meets exactly one copy.
+
+    The hot keys sent to the readers are the ``hot_keys`` largest, so they fit a
+    broadcast whatever the data; a key left out holds less than
+    ``1 / hot_keys`` of all rows and is joined like any other.
     """
     keys = counts.keys
     last_salt = F.call_function("div", F.col(ROWS), F.lit(scaling.rows_per_salt))
-    hot = largest_keys(counts.table, keys, ROWS, scaling).select(
-        *keys, (last_salt + 1).alias("_salts")
+    hot = (
+        counts.table.filter(F.col(ROWS) >= scaling.rows_per_salt)
+        .orderBy(F.desc(ROWS), *keys)
+        .limit(scaling.hot_keys)
+        .select(*keys, (last_salt + 1).alias("_salts"))
     )
     task = F.pmod(F.spark_partition_id().cast("bigint"), F.col("_salts"))
     salted_rows = null_safe_join(rows, F.broadcast(hot), keys, "left").withColumn(

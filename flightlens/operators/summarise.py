@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlens.functions import numeric
-from flightlens.operators.lookup import ROWS, largest_keys, null_safe_join
+from flightlens.operators.lookup import ROWS, null_safe_join
 from flightlens.operators.rank import ranks_from_counts
 from flightlens.settings import SCALING, Scaling
 
@@ -41,14 +41,17 @@ def lower_median(
 ) -> DataFrame:
     """The median as an actual element (the lower of two middles), exact at any size.
 
-    ``sizes`` is written already and has the number of rows of each group.  The
-    value map of an ordinary group fits a task, so one aggregate does it.  The
-    groups too large for that are counted by value over many tasks instead.
+    ``sizes`` is written already and has the number of rows of each group.  A
+    group of fewer than ``rows_per_salt`` rows has a value map that fits a task,
+    so one aggregate does it.  Larger groups are counted by value over many
+    tasks instead.
     """
-    hot = largest_keys(sizes, groups, count, scaling).select(*groups)
-    if hot.isEmpty():
+    hot = sizes.filter(F.col(count) >= scaling.rows_per_salt).select(*groups)
+    hot_groups = hot.count()
+    if hot_groups == 0:
         return _median_by_map(df, groups, metric, median)
-    hot = F.broadcast(hot)
+    if hot_groups <= scaling.broadcast_rows:
+        hot = F.broadcast(hot)
     ordinary = _median_by_map(null_safe_join(df, hot, groups, "left_anti"), groups, metric, median)
     large = _median_by_counts(null_safe_join(df, hot, groups, "left_semi"), groups, metric, median)
     return ordinary.unionByName(large)

@@ -35,11 +35,11 @@ class Scaling:
     rows_per_salt
         A join key with more rows than this is spread over several tasks.
     hot_keys
-        How many of the largest keys are spread.  A key outside the first
+        How many of the largest keys a join spreads.  A key outside the first
         ``hot_keys`` holds less than ``1 / hot_keys`` of all rows.
     """
 
-    broadcast_rows: int = 200_000
+    broadcast_rows: int = 500_000
     rows_per_salt: int = 1_000_000
     hot_keys: int = 1_000
 
