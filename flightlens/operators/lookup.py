@@ -30,9 +30,6 @@ class KeyCounts:
     keys: tuple[str, ...]
     size: int
 
-    def is_small(self, scaling: Scaling) -> bool:
-        return self.size <= scaling.broadcast_rows
-
 
 def count_keys(df: DataFrame, keys: Sequence[str]) -> KeyCounts:
     """Count rows by key, pre-aggregated in each task before the shuffle."""
@@ -49,7 +46,7 @@ def join_lookup(
     the lookup is broadcast and the rows do not move.  Large: both sides are
     shuffled on the keys plus a salt, see :func:`_salted_join`.
     """
-    if counts.is_small(scaling):
+    if counts.size <= scaling.broadcast_rows:
         return null_safe_join(rows, F.broadcast(lookup), counts.keys, "left")
     return _salted_join(rows, lookup, counts, scaling)
 
@@ -84,4 +81,7 @@ def _salted_join(
         *keys, F.explode(F.sequence(F.lit(0).cast("bigint"), last_salt)).alias("_salt")
     )
     copies = null_safe_join(lookup, salts, keys)
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if counts.size <= scaling.hashed_rows * partitions:
+        copies = copies.hint("shuffle_hash")
     return null_safe_join(salted_rows, copies, [*keys, "_salt"], "left").drop("_salt", "_salts")

@@ -4,7 +4,7 @@ A rank by a two-decimal number depends only on how many rows hold each value.
 So the rows are counted by value once, ranks are worked out on those counts,
 and every row looks its rank up.
 
-While the counts are few (a checked number), one task orders them all.  Beyond
+While the counts are few (a checked number), one task orders them.  Beyond
 that no task receives all counts, nor all counts of one group: running totals
 are taken first over coarse value buckets and then inside each bucket, and both
 are bounded by the digits of the number.
@@ -121,7 +121,7 @@ def rank_within(
     """Rank of every row inside its group; ``top`` keeps ranks up to that number."""
     keys = [*groups, metric]
     counts = count_keys(df, keys)
-    if counts.is_small(scaling):
+    if counts.size <= scaling.one_task_rows:
         ranks = counts.table.coalesce(1).select(*keys, _rank_in_one_task(metric, groups).alias(rank))
     else:
         ranks = ranks_from_counts(counts.table, groups, metric, rank).drop(ROWS)
@@ -160,7 +160,7 @@ def rank_and_compare(
 ) -> DataFrame:
     """Both ranks and the group statistics on every row: one count, one join."""
     counts = count_keys(df, [group, metric])
-    if counts.is_small(scaling):
+    if counts.size <= scaling.one_task_rows:
         table = counts.table.coalesce(1)
         ranks = table.select(
             group,
@@ -168,6 +168,7 @@ def rank_and_compare(
             _rank_in_one_task(metric, [group]).alias(group_rank),
             _rank_in_one_task(metric, []).alias(overall_rank),
         )
+        # Not more groups than counts, so within the same bound.
         by_group = F.broadcast(table.groupBy(group).agg(*_stats(metric, names)))
     else:
         table = counts.table
@@ -191,7 +192,7 @@ def rank_and_share(
     there are at most sqrt(2 N) of them.
     """
     everything = Window.partitionBy()
-    if size <= scaling.broadcast_rows:
+    if size <= scaling.one_task_rows:
         larger_first = Window.orderBy(F.desc_nulls_last(count))
         whole = F.sum(count).over(everything)
         return df.coalesce(1).select(

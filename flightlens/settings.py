@@ -29,9 +29,15 @@ class Rules:
 class Scaling:
     """Where a plan changes shape.  Results never depend on these numbers.
 
+    one_task_rows
+        A per-key table is ordered by a single task only when its counted size
+        is at most this many rows.
     broadcast_rows
         A lookup is broadcast only when its counted size is at most this many
         rows; above it the salted shuffle join is used.
+    hashed_rows
+        The shuffle join hashes the lookup instead of sorting both sides while
+        a partition of the lookup has at most this many rows.
     rows_per_salt
         A join key with more rows than this is spread over several tasks.
     hot_keys
@@ -39,7 +45,9 @@ class Scaling:
         ``hot_keys`` holds less than ``1 / hot_keys`` of all rows.
     """
 
+    one_task_rows: int = 100_000
     broadcast_rows: int = 500_000
+    hashed_rows: int = 250_000
     rows_per_salt: int = 1_000_000
     hot_keys: int = 1_000
 

@@ -60,7 +60,7 @@ def test_small_lookup_is_broadcast_and_rows_do_not_move(raw_table):
 def test_large_lookup_never_gathers_the_rows(raw_table):
     """The one single-task step is over the value buckets, never over reports."""
     ranked = rank_and_compare(
-        enrich(raw_table), "origin_country", "velocity_kmh", "a", "b", NAMES, Scaling(broadcast_rows=0)
+        enrich(raw_table), "origin_country", "velocity_kmh", "a", "b", NAMES, Scaling(one_task_rows=0, broadcast_rows=0)
     )
     plan = plan_of(ranked)
     gathered = [line for line in plan.splitlines() if "SinglePartition" in line]

@@ -24,9 +24,11 @@ from flightlens.settings import Scaling
 
 SHAPES = {
     "broadcast": Scaling(),
-    "shuffled": Scaling(broadcast_rows=0),
-    "salted": Scaling(broadcast_rows=0, rows_per_salt=3, hot_keys=4),
-    "salted, every key hot": Scaling(broadcast_rows=0, rows_per_salt=1, hot_keys=1000),
+    "broadcast, ordered in buckets": Scaling(one_task_rows=0),
+    "shuffled and sorted": Scaling(one_task_rows=0, broadcast_rows=0, rows_per_salt=3, hashed_rows=0),
+    "shuffled": Scaling(one_task_rows=0, broadcast_rows=0),
+    "salted": Scaling(one_task_rows=0, broadcast_rows=0, rows_per_salt=3, hot_keys=4),
+    "salted, every key hot": Scaling(one_task_rows=0, broadcast_rows=0, rows_per_salt=1, hot_keys=1000),
 }
 NAMES = ("mean", "highest", "lowest")
 
@@ -124,13 +126,13 @@ def test_full_value_range(spark):
 def test_only_bounded_numbers_are_ranked(spark):
     df = spark.createDataFrame([(1.5,)], "v double")
     with pytest.raises(ValueError, match="decimal"):
-        rank_overall(df, "v", "rank", Scaling(broadcast_rows=0))
+        rank_overall(df, "v", "rank", Scaling(one_task_rows=0, broadcast_rows=0))
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_rank_and_share(spark, small):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), (None, 1)], "g string, n bigint")
-    scaling = Scaling() if small else Scaling(broadcast_rows=0)
+    scaling = Scaling() if small else Scaling(one_task_rows=0, broadcast_rows=0)
     got = {r.g: (r["rank"], str(r.share)) for r in rank_and_share(df, 4, "n", "rank", "share", scaling).collect()}
     assert got == {"a": (1, "35.71"), "b": (1, "35.71"), "c": (3, "21.43"), None: (4, "7.14")}
 
@@ -186,7 +188,7 @@ def test_salted_join_spreads_a_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = join_lookup(rows, lookup, counts, Scaling(broadcast_rows=0, rows_per_salt=500))
+        joined = join_lookup(rows, lookup, counts, Scaling(one_task_rows=0, broadcast_rows=0, rows_per_salt=500))
         spread = joined.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
         assert joined.filter("hit = 'found'").select("id").distinct().count() == 4000
     finally:
