@@ -101,10 +101,14 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.call_function("div", number, F.lit(PER_PAYLOAD))
     records = F.array_join(F.transform(F.array_sort("_records"), lambda r: r["record"]), ",")
     end = F.when(F.col("payload_id") % 5 == 4, F.lit("")).otherwise(F.lit("]}"))
+    # A fixed number of partitions: parsing costs far more than the few bytes
+    # suggest, so adaptive execution must not join them into one task.
+    tasks = spark.sparkContext.defaultParallelism
     return (
         _numbered(spark, sf_dir)
         .select(payload.alias("payload_id"), F.struct(number, record.alias("record")).alias("_one"))
         .groupBy("payload_id")
         .agg(F.collect_list("_one").alias("_records"))
         .select("payload_id", F.concat(F.lit('{"states":['), records, end).alias("value"))
+        .repartition(tasks, "payload_id")
     )
