@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import simhash
+from flightlens.llm import bpe, licenses, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,14 +16,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary, pattern = bpe.public_vocabulary()
+    ids = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary, pattern)
+    text = bpe.decode_column(F.col("ids"), vocabulary, pattern)
+    return ids.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(text, 256).alias("decoded_sha256"),
+    )
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("shared", "unit_size", "template_size")]
+    return found.select("doc_id", "license", "unit", *counts, "dice")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Query]:
-    return {"op3_simhash": op3_simhash}
+    return {
+        "op1_bpe": op1_bpe,
+        "op2_licenses": op2_licenses,
+        "op3_simhash": op3_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_licenses": licenses.oracle()}
