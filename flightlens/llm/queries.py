@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, licenses, simhash
+from flightlens.llm import bpe, langid, licenses, quality, simhash, toxicity
+from flightlens.llm.common import held_out, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,11 +40,52 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted without the documents whose crc32 remainder by 5 is 0."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    small_batches(spark)
+    model = quality.train(docs, labels.where(~held_out(F.col("doc_id"), 5)), F.col("quality"))
+    graded = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 5).alias("held_out"),
+        quality.grade_column(F.col("text"), model).alias("grade"),
+    )
+    selected = (F.col("grade.tail_probability") >= 0.5).cast("int").alias("selected")
+    return graded.select("doc_id", "held_out", "grade.expected_grade", "grade.tail_probability", selected)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    small_batches(spark)
+    model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 5)), F.col("toxic"))
+    scored = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 5).alias("held_out"),
+        toxicity.score_column(F.col("text"), model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    small_batches(spark)
+    model = langid.train(docs.where(~held_out(F.col("doc_id"), 5)))
+    found = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 5).alias("held_out"),
+        langid.language_column(F.col("text"), model).alias("found"),
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_licenses": op2_licenses,
         "op3_simhash": op3_simhash,
+        "op4_quality": op4_quality,
+        "op7_toxicity": op7_toxicity,
+        "op8_language": op8_language,
     }
 
 
