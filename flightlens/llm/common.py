@@ -56,7 +56,8 @@ def labelled_sample(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(rows)
     )
-    texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").cast("binary").alias("text"))
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    texts = docs.select(F.col("doc_id").alias("_doc"), text.alias("text"))
     texts = texts.where(F.octet_length("text") <= max_bytes)
     joined = texts.join(F.broadcast(picked), texts["_doc"] == picked["_id"])
     # Repeated rows of a document count once.

@@ -7,9 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, quality, simhash, toxicity
+from flightlens.llm import bpe, langid, licenses, pivots, quality, simhash, toxicity
 from flightlens.llm.common import held_out, small_batches
 
+#: Every query against every row, without an index.
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e::DOUBLE[], v.e::DOUBLE[]) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -78,6 +97,13 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").where(pivots.usable(F.col("embedding")))
+    vectors = rows.select(F.col("vec_id").alias("id"), pivots.whole_numbers(F.col("embedding"), 1024).alias("vector"))
+    found = pivots.search(vectors, vectors.where(F.col("id") % 100 == 0), k=10)
+    return found.withColumn("score", F.col("score").cast("bigint"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -86,8 +112,9 @@ def queries() -> dict[str, Query]:
         "op4_quality": op4_quality,
         "op7_toxicity": op7_toxicity,
         "op8_language": op8_language,
+        "op9_exact_topk": op9_exact_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses.oracle()}
+    return {"op2_licenses": licenses.oracle(), "op9_exact_topk": OP9_SQL}
