@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, pivots, quality, simhash, toxicity
+from flightlens.llm import bpe, langid, licenses, neighbours, pivots, quality, simhash, toxicity
 from flightlens.llm.common import held_out, small_batches
 
 #: Every query against every row, without an index.
@@ -104,6 +104,11 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.col("score").cast("bigint"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return neighbours.search(vectors, vectors.where(F.col("id") % 20 == 0), k=20)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -113,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op7_toxicity": op7_toxicity,
         "op8_language": op8_language,
         "op9_exact_topk": op9_exact_topk,
+        "op10_neighbours": op10_neighbours,
     }
 
 
