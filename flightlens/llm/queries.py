@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, neighbours, pivots, quality, simhash, toxicity
+from flightlens.llm import bpe, langid, licenses, neighbours, packing, pivots, quality, simhash, toxicity
 from flightlens.llm.common import held_out, small_batches
 
 #: Every query against every row, without an index.
@@ -73,6 +73,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("doc_id", "held_out", "grade.expected_grade", "grade.tail_probability", selected)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), *bpe.public_vocabulary(), window=1024)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     small_batches(spark)
@@ -115,6 +122,7 @@ def queries() -> dict[str, Query]:
         "op2_licenses": op2_licenses,
         "op3_simhash": op3_simhash,
         "op4_quality": op4_quality,
+        "op6_packing": op6_packing,
         "op7_toxicity": op7_toxicity,
         "op8_language": op8_language,
         "op9_exact_topk": op9_exact_topk,
