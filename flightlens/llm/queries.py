@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, neighbours, packing, pivots, quality, simhash, toxicity
+from flightlens.llm import bpe, langid, licenses, maxent, neighbours, packing, pivots, quality, simhash, toxicity
 from flightlens.llm.common import held_out, small_batches
 
 #: Every query against every row, without an index.
@@ -73,6 +73,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("doc_id", "held_out", "grade.expected_grade", "grade.tail_probability", selected)
 
 
+def op5_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(F.col("doc_id"), 10)
+    found = maxent.score(_table(spark, sf_dir, "documents"), ~out)
+    return found.select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents"), *bpe.public_vocabulary(), window=1024)
     return packed.select(
@@ -116,12 +124,20 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("id") % 20 == 0), k=20)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": pipeline,
         "op1_bpe": op1_bpe,
         "op2_licenses": op2_licenses,
         "op3_simhash": op3_simhash,
         "op4_quality": op4_quality,
+        "op5_maxent": op5_maxent,
         "op6_packing": op6_packing,
         "op7_toxicity": op7_toxicity,
         "op8_language": op8_language,
