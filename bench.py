@@ -4,8 +4,8 @@ BENCH_SF_DIR, BENCH_CPUS and BENCH_REPEATS choose the data, the cores and the
 number of timed runs.  A query's time is its best run, from building the plan to
 the last row produced; the first run only warms the JVM.
 
-``plain_forms`` holds the textbook form of three reports (row-level windows, one
-aggregate with a percentile sketch) on the same input, for comparison.
+``PLAIN`` holds a generic form of three reports on the same input, for comparison:
+windows over the rows, or one grouping with every measure of the layout.
 """
 
 from __future__ import annotations
@@ -14,19 +14,19 @@ import json
 import os
 import sys
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from flightlens import plans  # noqa: E402
 from flightlens.operators.enrich import enrich  # noqa: E402
 from flightlens.plans.catalog import queries  # noqa: E402
 from flightlens.plans.observations import observations  # noqa: E402
-from flightlens.schema import ANALYTICS_KEYS  # noqa: E402
+from flightlens.schema import ANALYTICS_KEYS, ANALYTICS_LAYOUT, COUNTRY_LAYOUT, Layout  # noqa: E402
 from flightlens.session import build_session  # noqa: E402
 
 HEADLINE = (
@@ -44,56 +44,44 @@ HEADLINE = (
 )
 
 
-def plain_enriched(base: DataFrame) -> DataFrame:
-    country = Window.partitionBy("origin_country")
-    speed = F.col("velocity_kmh").cast("double")
-    ranked = base.withColumns(
-        {
-            "rank_in_country": F.rank().over(country.orderBy(F.desc("velocity_kmh"))),
-            "speed_rank_global": F.rank().over(Window.orderBy(F.desc("velocity_kmh"))),
-            "avg_speed_in_country": F.round(F.avg(speed).over(country), 2),
-            "max_speed_in_country": F.max("velocity_kmh").over(country),
-            "min_speed_in_country": F.min("velocity_kmh").over(country),
-        }
-    )
-    return plans.enriched_flights(ranked)
+#: What a summary column of the layouts stands for, where its name does not say.
+COUNTED = {
+    "total_aircraft": "count(1)",
+    "flight_count": "count(1)",
+    "unique_flights": "count(DISTINCT callsign)",
+    "unique_aircraft": "count(DISTINCT icao24)",
+    "anomaly_count": "sum(is_anomaly)",
+    "avg_speed_kmh": "avg(velocity_kmh)",
+}
+NAMED = {"avg": "avg({})", "min": "min({})", "max": "max({})", "median": "percentile_approx({}, 0.5)"}
 
 
-def plain_country(base: DataFrame) -> DataFrame:
-    counted = base.groupBy("origin_country").agg(
-        F.count(F.lit(1)).alias("total_aircraft"),
-        F.round(F.avg(F.col("velocity_kmh").cast("double")), 2).alias("avg_speed_kmh"),
-        F.count_distinct("callsign").alias("unique_flights"),
-        F.sum("is_anomaly").alias("anomaly_count"),
-    )
-    whole = F.sum("total_aircraft").over(Window.partitionBy())
-    return counted.withColumns(
-        {
-            "global_rank": F.rank().over(Window.orderBy(F.desc("total_aircraft"))),
-            "percentage_of_total": F.round(F.col("total_aircraft") / whole * 100, 2),
-        }
-    ).orderBy(F.desc("total_aircraft"))
-
-
-def plain_analytics(base: DataFrame) -> DataFrame:
-    speed = F.col("velocity_kmh").cast("double")
-    return base.groupBy(*ANALYTICS_KEYS).agg(
-        F.count(F.lit(1)).alias("flight_count"),
-        F.round(F.avg(speed), 2).alias("avg_velocity_kmh"),
-        F.round(F.avg("baro_altitude"), 2).alias("avg_baro_altitude"),
-        F.round(F.avg("geo_altitude"), 2).alias("avg_geo_altitude"),
-        F.sum("is_anomaly").alias("anomaly_count"),
-        F.count_distinct("icao24").alias("unique_aircraft"),
-        F.min(speed).alias("min_velocity_kmh"),
-        F.max(speed).alias("max_velocity_kmh"),
-        F.percentile_approx(speed, 0.5).alias("median_velocity_kmh"),
-    )
+def measure(column: str) -> str | None:
+    """The aggregate behind a column of a layout; None for keys and derived columns."""
+    kind, _, source = column.partition("_")
+    return COUNTED.get(column) or (NAMED[kind].format(source) if kind in NAMED else None)
+
+
+def one_aggregate(base: DataFrame, layout: Layout, keys: Sequence[str]) -> DataFrame:
+    """Every measure of a layout in a single grouping."""
+    found = {c: measure(c) for c in layout.schema.names}
+    return base.groupBy(*keys).agg(*[F.expr(m).alias(c) for c, m in found.items() if m])
+
+
+def by_windows(base: DataFrame) -> DataFrame:
+    """Ranks and statistics as windows over the rows, in SQL."""
+    base.createOrReplaceTempView("bench_reports")
+    country, everyone = "PARTITION BY origin_country", ""
+    ranks = {"rank_in_country": country, "speed_rank_global": everyone}
+    shown = [f"rank() OVER ({over} ORDER BY velocity_kmh DESC) AS {name}" for name, over in ranks.items()]
+    shown += [f"{kind}(velocity_kmh) OVER ({country}) AS {kind}_speed_in_country" for kind in ("avg", "max", "min")]
+    return plans.enriched_flights(base.sparkSession.sql(f"SELECT *, {', '.join(shown)} FROM bench_reports"))
 
 
 PLAIN = {
-    "enriched_flights": plain_enriched,
-    "country_stats": plain_country,
-    "flights_analytics": plain_analytics,
+    "enriched_flights": by_windows,
+    "country_stats": lambda base: one_aggregate(base, COUNTRY_LAYOUT, ["origin_country"]),
+    "flights_analytics": lambda base: one_aggregate(base, ANALYTICS_LAYOUT, ANALYTICS_KEYS),
 }
 
 

@@ -30,6 +30,7 @@ def _arguments() -> argparse.Namespace:
     ingest.add_argument("--rejects", required=True)
     ingest.add_argument("--checkpoints", required=True)
     ingest.add_argument("--one-per-line", action="store_true")
+    ingest.add_argument("--cap", type=int, help="records loaded of each payload; the rest is rejected (default: all)")
 
     renew = commands.add_parser("refresh")
     source = renew.add_mutually_exclusive_group(required=True)
@@ -52,7 +53,7 @@ def main() -> None:
     try:
         if args.command == "ingest":
             queries = land_payloads(
-                spark, args.landed, args.raw, args.rejects, args.checkpoints, one_per_line=args.one_per_line
+                spark, args.landed, args.raw, args.rejects, args.checkpoints, one_per_line=args.one_per_line, cap=args.cap
             )
             for query in queries:
                 query.awaitTermination()

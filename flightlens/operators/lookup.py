@@ -54,25 +54,22 @@ def join_lookup(
 def _salted_join(
     rows: DataFrame, lookup: DataFrame, counts: KeyCounts, scaling: Scaling
 ) -> DataFrame:
-    """Shuffle join that spreads each hot key over ``rows / rows_per_salt`` tasks.
+    """Shuffle join that spreads each hot key over ``rows / per_salt`` tasks.
 
     The lookup holds one copy of a key per salt.  A row of a hot key takes the
     salt of the task that reads it, so re-running a lost task routes its rows
     the same way and identical rows still spread.  Rows of other keys take salt
     0, which every key has, so each row meets exactly one copy.
 
-    The hot keys sent to the readers are the ``hot_keys`` largest, so they fit a
-    broadcast whatever the data; a key left out holds less than
-    ``1 / hot_keys`` of all rows and is joined like any other.
+    N rows have at most ``N / per_salt`` keys of ``per_salt`` rows or more.  That
+    number is raised with N until those keys fit the checked broadcast, so every
+    hot key is spread.
     """
     keys = counts.keys
-    last_salt = F.call_function("div", F.col(ROWS), F.lit(scaling.rows_per_salt))
-    hot = (
-        counts.table.filter(F.col(ROWS) >= scaling.rows_per_salt)
-        .orderBy(F.desc(ROWS), *keys)
-        .limit(scaling.hot_keys)
-        .select(*keys, (last_salt + 1).alias("_salts"))
-    )
+    total = counts.table.agg(F.sum(ROWS)).first()[0] or 0
+    per_salt = max(scaling.rows_per_salt, -(-total // scaling.hot_keys))
+    last_salt = F.call_function("div", F.col(ROWS), F.lit(per_salt))
+    hot = counts.table.filter(F.col(ROWS) >= per_salt).select(*keys, (last_salt + 1).alias("_salts"))
     task = F.pmod(F.spark_partition_id().cast("bigint"), F.col("_salts"))
     salted_rows = null_safe_join(rows, F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.coalesce(task, F.lit(0))

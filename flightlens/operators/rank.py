@@ -1,19 +1,17 @@
 """Ranks and group statistics on every row, without sorting the rows.
 
-A rank by a two-decimal number depends only on how many rows hold each value.
+A rank by a number depends only on how many rows hold each value.
 So the rows are counted by value once, ranks are worked out on those counts,
 and every row looks its rank up.
 
 While the counts are few (a checked number), one task orders them.  Beyond
 that no task receives all counts, nor all counts of one group: running totals
-are taken first over coarse value buckets and then inside each bucket, and both
-are bounded by the digits of the number.
+are taken first over ranges of values and then inside each range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,16 +31,22 @@ from flightlens.settings import SCALING, Scaling
 StatNames = tuple[str, str, str]
 
 
-def _bucket(df: DataFrame, metric: str) -> Column:
-    """The upper half of the metric's digits.
+def require_number(df: DataFrame, metric: str) -> None:
+    """Refuse what cannot be ranked before anything is counted, at any size alike."""
+    kind = df.schema[metric].dataType
+    if not isinstance(kind, T.NumericType):
+        raise ValueError(f"{metric} is {kind.simpleString()}: ranking takes a number")
+
 
-    decimal(10,2) gives at most 2 * 10^5 buckets of at most 10^5 values.
+def _bucketed(counts: DataFrame, groups: Sequence[str], metric: str) -> DataFrame:
+    """Counts with the number of the value range they fall in, written once.
+
+    Ranges come from a sample of the values, so the table is written: both
+    readers must see the same ranges.
     """
-    kind = df.schema[metric].dataType
-    if not isinstance(kind, T.DecimalType) or kind.precision > 12:
-        raise ValueError(f"{metric} is {kind.simpleString()}: ranking takes a decimal of at most 12 digits")
-    step = Decimal(10) ** (kind.scale - (kind.precision + 1) // 2)
-    return F.floor(F.col(metric) * F.lit(step))
+    ranges = 4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.select(*groups, metric, ROWS).repartitionByRange(ranges, F.asc_nulls_first(metric))
+    return materialise(dealt.withColumn("_bucket", F.spark_partition_id()))[0]
 
 
 def ranks_from_counts(
@@ -57,7 +61,8 @@ def ranks_from_counts(
     ``counts`` has the columns ``groups``, ``metric`` and ``row_count``.  With
     ``total`` the number of rows in the group is added as well.
     """
-    tagged = counts.select(*groups, metric, ROWS, _bucket(counts, metric).alias("_bucket"))
+    require_number(counts, metric)
+    tagged = _bucketed(counts, groups, metric)
 
     group = Window.partitionBy(*groups)
     higher_buckets = group.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(
@@ -119,14 +124,19 @@ def rank_within(
     scaling: Scaling = SCALING,
 ) -> DataFrame:
     """Rank of every row inside its group; ``top`` keeps ranks up to that number."""
+    require_number(df, metric)
     keys = [*groups, metric]
     counts = count_keys(df, keys)
     if counts.size <= scaling.one_task_rows:
-        ranks = counts.table.coalesce(1).select(*keys, _rank_in_one_task(metric, groups).alias(rank))
+        ranks = counts.table.coalesce(1).select(*keys, ROWS, _rank_in_one_task(metric, groups).alias(rank))
     else:
-        ranks = ranks_from_counts(counts.table, groups, metric, rank).drop(ROWS)
-    ranked = join_lookup(df, ranks, counts, scaling)
-    return ranked if top is None else ranked.filter(F.col(rank) <= top)
+        ranks = ranks_from_counts(counts.table, groups, metric, rank)
+    if top is None:
+        return join_lookup(df, ranks.drop(ROWS), counts, scaling)
+    # Only the wanted ranks are looked up: few, so the rows rarely move at all.
+    few, size = materialise(ranks.filter(F.col(rank) <= top))
+    wanted = KeyCounts(few.select(*keys, ROWS), tuple(keys), size)
+    return join_lookup(df, few.drop(ROWS), wanted, scaling).filter(F.col(rank).isNotNull())
 
 
 def rank_overall(df: DataFrame, metric: str, rank: str, scaling: Scaling = SCALING) -> DataFrame:
@@ -142,9 +152,15 @@ def group_stats(
     scaling: Scaling = SCALING,
 ) -> DataFrame:
     """Mean, maximum and minimum of the group on every row."""
-    counts = count_keys(df, [*groups, metric])
-    totals = [F.sum(ROWS).alias(ROWS), *_stats(metric, names)]
-    table, size = materialise(counts.table.groupBy(*groups).agg(*totals))
+    mean, highest, lowest = names
+    table, size = materialise(
+        df.groupBy(*groups).agg(
+            F.count(F.lit(1)).alias(ROWS),
+            numeric.mean(F.sum(metric), F.count(metric)).alias(mean),
+            F.max(metric).alias(highest),
+            F.min(metric).alias(lowest),
+        )
+    )
     per_group = KeyCounts(table.select(*groups, ROWS), tuple(groups), size)
     return join_lookup(df, table.drop(ROWS), per_group, scaling)
 
@@ -159,6 +175,7 @@ def rank_and_compare(
     scaling: Scaling = SCALING,
 ) -> DataFrame:
     """Both ranks and the group statistics on every row: one count, one join."""
+    require_number(df, metric)
     counts = count_keys(df, [group, metric])
     if counts.size <= scaling.one_task_rows:
         table = counts.table.coalesce(1)
@@ -173,10 +190,16 @@ def rank_and_compare(
     else:
         table = counts.table
         in_group = ranks_from_counts(table, [group], metric, group_rank).drop(ROWS)
-        by_value = table.groupBy(metric).agg(F.sum(ROWS).alias(ROWS))
+        # A value such as zero or NULL stands in every group, a group has many
+        # values: both joins know how many counts each of their keys has.
+        pairs = F.count(F.lit(1)).alias("_pairs")
+        by_value, values = materialise(table.groupBy(metric).agg(F.sum(ROWS).alias(ROWS), pairs))
         overall = ranks_from_counts(by_value, [], metric, overall_rank).drop(ROWS)
-        ranks = null_safe_join(in_group, overall, [metric])
-        by_group = table.groupBy(group).agg(*_stats(metric, names))
+        of_value = KeyCounts(by_value.select(metric, F.col("_pairs").alias(ROWS)), (metric,), values)
+        by_group, found = materialise(table.groupBy(group).agg(pairs, *_stats(metric, names)))
+        of_group = KeyCounts(by_group.select(group, F.col("_pairs").alias(ROWS)), (group,), found)
+        both = join_lookup(in_group, overall, of_value, scaling)
+        return join_lookup(df, join_lookup(both, by_group.drop("_pairs"), of_group, scaling), counts, scaling)
     lookup = null_safe_join(ranks, by_group, [group])
     return join_lookup(df, lookup, counts, scaling)
 
@@ -200,11 +223,12 @@ def rank_and_share(
             F.rank().over(larger_first).cast("bigint").alias(rank),
             numeric.percent(F.col(count), whole).alias(share),
         )
-    sizes = df.groupBy(count).agg(F.count(F.lit(1)).alias(ROWS))
+    sizes, distinct = materialise(df.groupBy(count).agg(F.count(F.lit(1)).alias(ROWS)))
     whole = F.sum(F.col(count) * F.col(ROWS)).over(everything)
     ranked = sizes.select(
-        F.col(count).alias("_size"),
+        count,
         _rank_in_one_task(count, []).alias(rank),
         numeric.percent(F.col(count), whole).alias(share),
     )
-    return df.join(ranked, df[count] == ranked["_size"]).drop("_size")
+    # With dirty groups nearly all have one row: that key is spread like any hot key.
+    return join_lookup(df, ranked, KeyCounts(sizes, (count,), distinct), scaling)

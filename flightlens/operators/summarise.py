@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flightlens.functions import numeric
 from flightlens.operators.lookup import ROWS, null_safe_join
-from flightlens.operators.rank import ranks_from_counts
+from flightlens.operators.rank import ranks_from_counts, require_number
 from flightlens.settings import SCALING, Scaling
 
 
@@ -46,12 +46,14 @@ def lower_median(
     so one aggregate does it.  Larger groups are counted by value over many
     tasks instead.
     """
-    hot = sizes.filter(F.col(count) >= scaling.rows_per_salt).select(*groups)
-    hot_groups = hot.count()
-    if hot_groups == 0:
+    require_number(df, metric)
+    # Raised with the number of rows until the large groups fit the checked broadcast.
+    total = sizes.agg(F.sum(count)).first()[0] or 0
+    limit = max(scaling.rows_per_salt, -(-total // scaling.hot_keys))
+    hot = sizes.filter(F.col(count) >= limit).select(*groups)
+    if hot.isEmpty():
         return _median_by_map(df, groups, metric, median)
-    if hot_groups <= scaling.broadcast_rows:
-        hot = F.broadcast(hot)
+    hot = F.broadcast(hot)
     ordinary = _median_by_map(null_safe_join(df, hot, groups, "left_anti"), groups, metric, median)
     large = _median_by_counts(null_safe_join(df, hot, groups, "left_semi"), groups, metric, median)
     return ordinary.unionByName(large)

@@ -27,7 +27,9 @@ from flightlens.schema import (
     RAW_FLIGHTS,
 )
 from flightlens.session import materialise, scratch_path
+from flightlens.settings import PAYLOAD_CAP
 from flightlens.sources.payloads import (
+    MALFORMED,
     accepted_rows,
     explode_states,
     parse_payloads,
@@ -150,6 +152,12 @@ def speed_rank_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select(*_REPORT_ID, "velocity_kmh", "speed_rank_global")
 
 
+def rank_by_altitude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks by a number that is no short decimal."""
+    ranked = rank_overall(_base(spark, sf_dir), "geo_altitude", "altitude_rank")
+    return ranked.select(*_REPORT_ID, "geo_altitude", "altitude_rank")
+
+
 def country_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = group_stats(_base(spark, sf_dir), ["origin_country"], "velocity_kmh", COUNTRY_SPEEDS)
     return compared.select(*_REPORT_ID, "origin_country", *COUNTRY_SPEEDS)
@@ -213,7 +221,7 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw texts of payload records against the length limits."""
-    typed = _typed_payloads(spark, sf_dir)
+    typed = _typed_payloads(spark, sf_dir).filter(F.col("payload_reason").isNull())
     return typed.agg(
         F.count(F.lit(1)).alias("records"),
         *[
@@ -229,7 +237,9 @@ def payload_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exploded = explode_states(parse_payloads(payloads(spark, sf_dir)))
+    """What a load with the usual cap takes; the rest goes to the rejects."""
+    exploded = explode_states(parse_payloads(payloads(spark, sf_dir)), PAYLOAD_CAP)
+    exploded = exploded.filter(F.col("payload_reason").isNull())
     return exploded.groupBy("payload_id").agg(
         F.count(F.lit(1)).alias("records"), F.max("position").alias("last_position")
     )
@@ -241,9 +251,29 @@ def ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejects = rejected_rows(_typed_payloads(spark, sf_dir))
+    rejects = rejects.filter(~F.array_contains(quality.REASONS, MALFORMED))
     return rejects.select("position", F.concat_ws(",", quality.REASONS).alias("reasons"))
 
 
+def ingest_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that cannot be read, with their text."""
+    unread = _typed_payloads(spark, sf_dir).filter(F.array_contains(quality.REASONS, MALFORMED))
+    return unread.select("payload_id", (F.length("record") > 0).alias("text_kept"))
+
+
+def ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded of total: every record and unreadable payload is in one of the counts."""
+    typed = _typed_payloads(spark, sf_dir)
+    unread = F.array_contains(quality.REASONS, MALFORMED)
+    good = F.size(quality.REASONS) == 0
+    return typed.agg(
+        F.count_if(~unread).alias("records"),
+        F.count_if(good).alias("loaded"),
+        F.count_if(~good & ~unread).alias("rejected"),
+        F.count_if(unread).alias("unreadable_payloads"),
+    )
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows through landed files and a file stream."""
     root = scratch_path(spark, "landing")
@@ -300,7 +330,33 @@ def incremental_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "incremental")
     refreshing.refresh_months(raw, out, since=datetime(1970, 1, 1), cutoff=middle)
     refreshing.refresh_months(raw, out, since=middle)
-    return read_published(spark, f"{out}/{ANALYTICS_LAYOUT.name}", ANALYTICS_LAYOUT)
+    path = refreshing.published_path(spark, out, ANALYTICS_LAYOUT.name)
+    return read_published(spark, path, ANALYTICS_LAYOUT)
+
+
+def _refreshed(dedupe: bool, cutoffs: tuple[datetime | None, ...]) -> Query:
+    """The row-level table after full refreshes with these cutoffs, the last one counting."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = observations(spark, sf_dir)
+        if dedupe:
+            raw = raw.unionByName(raw.withColumn("fetch_time", F.col("fetch_time") + F.expr("INTERVAL 1 HOUR")))
+        out = scratch_path(spark, "refreshed")
+        for cutoff in cutoffs:
+            refreshing.refresh(raw, out, cutoff, dedupe)
+        return read_published(spark, refreshing.published_path(spark, out, ENRICHED_LAYOUT.name), ENRICHED_LAYOUT)
+
+    return run
+
+
+def quarantine_after_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports set aside by a full refresh still are after a month was renewed."""
+    raw = observations(spark, sf_dir)
+    out = scratch_path(spark, "quarantine")
+    refreshing.refresh(raw, out)
+    refreshing.refresh_months(raw, out, since=datetime(2024, 1, 16))
+    path = refreshing.published_path(spark, out, f"quarantine/{ANALYTICS_LAYOUT.name}")
+    return spark.read.parquet(path).agg(F.coalesce(F.sum("flight_count"), F.lit(0)).alias("reports"))
 
 
 _PLAIN: dict[str, Query] = {
@@ -310,6 +366,8 @@ _PLAIN: dict[str, Query] = {
     "ingest_cap": ingest_cap,
     "ingest_rows": ingest_rows,
     "ingest_rejects": ingest_rejects,
+    "ingest_payload_rejects": ingest_payload_rejects,
+    "ingest_totals": ingest_totals,
     "text_limits": text_limits,
     "stream_landing": stream_landing,
     "dedupe_reports": dedupe_reports,
@@ -367,6 +425,10 @@ _PLAIN: dict[str, Query] = {
     "published_analytics": _published("flights_analytics"),
     "month_partitions": month_partitions,
     "incremental_analytics": incremental_analytics,
+    "refresh_earlier_cutoff": _refreshed(False, (None, datetime(2024, 1, 16))),
+    "refresh_deduped": _refreshed(True, (None,)),
+    "quarantine_after_months": quarantine_after_months,
+    "rank_by_altitude": rank_by_altitude,
 }
 
 

@@ -162,7 +162,7 @@ records AS (
   SELECT *, event_id // 1200 AS payload_id,
     row_number() OVER (PARTITION BY event_id // 1200 ORDER BY event_id) - 1 AS position
   FROM numbered),
-loaded AS (SELECT * FROM records WHERE payload_id % 5 <> 4 AND position < 1000),
+loaded AS (SELECT * FROM records WHERE payload_id % 5 <> 4),
 good AS (
   SELECT TIMESTAMP '2024-02-01 00:00:00' AS fetch_time, icao24, callsign, origin_country, time_position,
     last_contact, longitude, latitude,
@@ -198,7 +198,15 @@ _SQL = {
         CASE WHEN payload_id % 5 <> 4 THEN {_ROWS} END AS states
         FROM records GROUP BY payload_id""",
     "ingest_cap": f"""WITH {_RECORDS} SELECT payload_id, {_ROWS} AS records,
-        CAST(max(position) AS BIGINT) AS last_position FROM loaded GROUP BY payload_id""",
+        CAST(max(position) AS BIGINT) AS last_position FROM loaded WHERE position < 1000 GROUP BY payload_id""",
+    "ingest_payload_rejects": f"""WITH {_RECORDS} SELECT DISTINCT payload_id, true AS text_kept
+        FROM records WHERE payload_id % 5 = 4""",
+    "ingest_totals": f"""WITH {_RECORDS} SELECT
+        CAST(count(*) FILTER (WHERE payload_id % 5 <> 4) AS BIGINT) AS records,
+        CAST(count(*) FILTER (WHERE payload_id % 5 <> 4 AND event_id % 211 <> 0 AND event_id % 223 <> 0) AS BIGINT) AS loaded,
+        CAST(count(*) FILTER (WHERE payload_id % 5 <> 4 AND (event_id % 211 = 0 OR event_id % 223 = 0)) AS BIGINT) AS rejected,
+        CAST(count(DISTINCT payload_id) FILTER (WHERE payload_id % 5 = 4) AS BIGINT) AS unreadable_payloads
+        FROM records""",
     "ingest_rows": _INGESTED,
     "ingest_rejects": f"""WITH {_RECORDS} SELECT position,
         CASE WHEN event_id % 211 = 0 THEN 'not_a_list' ELSE 'callsign_too_long' END AS reasons
@@ -294,6 +302,17 @@ _SQL = {
         FROM analytics WHERE event_date IS NOT NULL""",
 }
 
+_EARLY = _RANKED.replace("FROM numbered WHERE", "FROM numbered WHERE fetch_time <= TIMESTAMP '2024-01-16' AND")
+_ONCE = f"numbered AS (SELECT 0 AS event_id, once.* FROM ({_SQL['dedupe_reports']}) AS once)" + _RANKED[len(_NUMBERED) :]
+_MONTHLY = f"SELECT {_ENRICHED_COLUMNS}, strftime(event_date, '%Y%m') AS event_month FROM ranked WHERE {_DATED}"
+_SQL |= {
+    "refresh_earlier_cutoff": f"WITH {_EARLY} {_MONTHLY}",
+    "refresh_deduped": f"WITH {_ONCE} {_MONTHLY}",
+    "quarantine_after_months": f"WITH {_BASE} SELECT {_ROWS} AS reports FROM base WHERE event_date IS NULL",
+    "rank_by_altitude": f"""WITH {_BASE} SELECT {_ID}, geo_altitude,
+        rank() OVER (ORDER BY geo_altitude DESC NULLS LAST) AS altitude_rank FROM base""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

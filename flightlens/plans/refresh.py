@@ -1,10 +1,17 @@
-"""One refresh: a snapshot of the raw reports to the three published tables."""
+"""One refresh: a snapshot of the raw reports to the three published tables.
+
+A full refresh writes its tables to a folder of its own and appends one entry to
+``refresh_log`` when all of them are in place; readers take the run of the newest
+entry (:func:`published_path`).  A run that dies leaves readers where they were.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +21,16 @@ from flightlens.operators import quality
 from flightlens.operators.dedupe import first_reports
 from flightlens.operators.enrich import enrich
 from flightlens.plans import reports
-from flightlens.schema import ANALYTICS_LAYOUT, COUNTRY_LAYOUT, ENRICHED_LAYOUT, Layout
+from flightlens.schema import ANALYTICS_LAYOUT, COUNTRY_LAYOUT, ENRICHED_LAYOUT, SLIM_LAYOUT, Layout
 from flightlens.session import materialise
 from flightlens.settings import RULES, SCALING, Rules, Scaling
-from flightlens.sources.publish import publish_parquet
+from flightlens.sources.publish import publish_parquet, read_published
 from flightlens.sources.raw import instant, snapshot
 
 
+MOST_RANGES = 240
+
+
 @dataclass(frozen=True)
 class Published:
     """Rows written and rows kept aside, per table."""
@@ -52,6 +62,28 @@ def quarantined_reports(enriched: DataFrame) -> DataFrame:
     return quality.rejected(quality.with_reasons(enriched, report_checks()))
 
 
+LOG = "table_name string, written_rows bigint, quarantined_rows bigint, cutoff timestamp, run string, finished timestamp"
+
+
+def published_root(spark: SparkSession, out: str) -> str | None:
+    """The folder of the newest finished run, or None before the first."""
+    out = out.rstrip("/")
+    try:
+        log = spark.read.schema(LOG).parquet(f"{out}/refresh_log")
+    except AnalysisException:  # no run has finished yet
+        return None
+    newest = log.orderBy(F.desc("finished"), F.desc("run")).select("run").first()
+    return f"{out}/{newest['run']}" if newest else None
+
+
+def published_path(spark: SparkSession, out: str, table: str) -> str:
+    """Where a table of the newest finished run lies."""
+    root = published_root(spark, out)
+    if root is None:
+        raise FileNotFoundError(f"no refresh has finished in {out}")
+    return f"{root}/{table}"
+
+
 def refresh(
     raw: DataFrame,
     out: str,
@@ -60,30 +92,39 @@ def refresh(
     rules: Rules = RULES,
     scaling: Scaling = SCALING,
 ) -> Published:
-    """Recompute and publish all three tables from the reports up to ``cutoff``.
+    """Recompute and publish all tables from the reports up to ``cutoff``.
 
-    Every table is built on the same snapshot and published so that running the
-    refresh again gives the same rows; any failure leaves as an exception.  The
-    log is written last: a cutoff in the log means all tables are in place.
+    The derived reports are written once, so the source is scanned once (a
+    database in one state), repeats are removed once, and every table is built
+    on the same rows.  Whatever cutoff an earlier run had, the tables hold the
+    rows of this one only.  Any failure leaves as an exception.
     """
     out = out.rstrip("/")
+    spark = raw.sparkSession
+    root = f"{out}/run-{uuid.uuid4().hex}"
     kept = snapshot(raw, cutoff)
-    base = enrich(first_reports(kept) if dedupe else kept, rules)
+    base, _ = materialise(enrich(first_reports(kept) if dedupe else kept, rules))
     written: dict[str, int] = {}
     aside: dict[str, int] = {}
 
-    rows, observed = quality.observe_load(publishable(reports.ranked_flights(base, scaling)), "enriched")
-    publish_parquet(rows, f"{out}/{ENRICHED_LAYOUT.name}", ENRICHED_LAYOUT)
-    written[ENRICHED_LAYOUT.name] = quality.observed_rows(observed)
-    aside[ENRICHED_LAYOUT.name] = _set_aside(quarantined_reports(base), out, ENRICHED_LAYOUT)
+    ranked = reports.ranked_flights(base, scaling)
+    publish_parquet(publishable(ranked), f"{root}/{ENRICHED_LAYOUT.name}", ENRICHED_LAYOUT)
+    rows = read_published(spark, f"{root}/{ENRICHED_LAYOUT.name}", ENRICHED_LAYOUT)
+    written[ENRICHED_LAYOUT.name] = rows.count()
+    aside[ENRICHED_LAYOUT.name] = _set_aside(quarantined_reports(base), root, ENRICHED_LAYOUT)
+    # The older, narrower view has the same rows.
+    slim = rows.select(*SLIM_LAYOUT.schema.names)
+    publish_parquet(slim, f"{root}/{SLIM_LAYOUT.name}", SLIM_LAYOUT)
+    written[SLIM_LAYOUT.name] = written[ENRICHED_LAYOUT.name]
+    aside[SLIM_LAYOUT.name] = aside[ENRICHED_LAYOUT.name]
 
     for layout, summary in (
         (COUNTRY_LAYOUT, reports.country_stats(base, scaling=scaling)),
         (ANALYTICS_LAYOUT, reports.flights_analytics(base, scaling=scaling)),
     ):
-        written[layout.name], aside[layout.name] = _publish_summary(summary, out, layout)
+        written[layout.name], aside[layout.name] = _publish_summary(summary, root, layout)
 
-    _log(base.sparkSession, out, cutoff, written, aside)
+    _log(spark, out, root.rpartition("/")[2], cutoff, written, aside)
     return Published(written, aside)
 
 
@@ -108,7 +149,12 @@ def refresh_months(
 def publish_months(
     raw: DataFrame, arrived: DataFrame, out: str, rules: Rules, scaling: Scaling
 ) -> Published:
-    """Recompute the months that the enriched reports ``arrived`` fall in."""
+    """Recompute the months that the enriched reports ``arrived`` fall in.
+
+    They replace those months in the newest finished run; before the first run
+    they make one of their own.
+    """
+    spark = raw.sparkSession
     month = event_month(F.col("event_date"))
     touched = arrived.filter(F.col("event_date").isNotNull()).select(
         F.trunc("event_date", "month").alias("first_day"), month.alias("month")
@@ -116,49 +162,80 @@ def publish_months(
     months, size = materialise(touched.distinct())
     if size == 0:
         return Published({ANALYTICS_LAYOUT.name: 0}, {ANALYTICS_LAYOUT.name: 0})
-    # The outer days of the touched months, pushed to the scan as a range.
-    span = months.agg(
-        F.unix_seconds(F.min("first_day").cast("timestamp")).alias("begin"),
-        F.unix_seconds(F.add_months(F.max("first_day"), 1).cast("timestamp")).alias("end"),
-    ).first()
-    near = raw.filter((F.col("time_position") >= span["begin"]) & (F.col("time_position") < span["end"]))
+    near = raw.filter(_within_months(months, size))
     base = enrich(near, rules).withColumn("month", month)
     base = base.join(F.broadcast(months) if size <= scaling.broadcast_rows else months, "month", "left_semi")
-    summary = reports.flights_analytics(base.drop("month"), scaling=scaling)
-    done, aside = _publish_summary(summary, out, ANALYTICS_LAYOUT)
+    base, _ = materialise(base.drop("month"))
+    summary = reports.flights_analytics(base, scaling=scaling)
+    root = published_root(spark, out)
+    first = root is None
+    root = root or f"{out}/run-{uuid.uuid4().hex}"
+    done, aside = _publish_summary(summary, root, ANALYTICS_LAYOUT, months)
+    if first:
+        _log(spark, out, root.rpartition("/")[2], None, {ANALYTICS_LAYOUT.name: done}, {ANALYTICS_LAYOUT.name: aside})
     return Published({ANALYTICS_LAYOUT.name: done}, {ANALYTICS_LAYOUT.name: aside})
 
 
-def _publish_summary(summary: DataFrame, out: str, layout: Layout) -> tuple[int, int]:
+def _within_months(months: DataFrame, size: int) -> Column:
+    """``time_position`` in the touched months, as ranges a scan can prune by.
+
+    One range per run of neighbouring months; their outer days if they are very many.
+    """
+    if size > MOST_RANGES:
+        outer = months.agg(F.min("first_day").alias("a"), F.max("first_day").alias("b")).first()
+        days = [(outer["a"], outer["b"])]
+    else:
+        days = []
+        for row in months.orderBy("first_day").collect():
+            day = row["first_day"]
+            if days and (days[-1][1] + timedelta(days=31)).replace(day=1) == day:
+                days[-1] = (days[-1][0], day)
+            else:
+                days.append((day, day))
+    wanted = F.lit(False)
+    for first, last in days:
+        begin = int(datetime(first.year, first.month, 1, tzinfo=UTC).timestamp())
+        end = int(datetime(last.year, last.month, 1, tzinfo=UTC).timestamp()) + 31 * 86_400
+        wanted = wanted | ((F.col("time_position") >= begin) & (F.col("time_position") < end))
+    return wanted
+
+
+def _publish_summary(
+    summary: DataFrame, root: str, layout: Layout, months: DataFrame | None = None
+) -> tuple[int, int]:
     table, size = materialise(summary)
     checked = quality.with_reasons(table, quality.contract_checks(layout))
-    publish_parquet(quality.accepted(checked), f"{out}/{layout.name}", layout)
-    aside = _set_aside(quality.rejected(checked), out, layout)
+    publish_parquet(quality.accepted(checked), f"{root}/{layout.name}", layout)
+    aside = _set_aside(quality.rejected(checked), root, layout, months)
     return size - aside, aside
 
 
-def _set_aside(rows: DataFrame, out: str, layout: Layout) -> int:
-    rows, observed = quality.observe_load(rows, "quarantine")
-    rows.write.mode("overwrite").parquet(f"{out}/quarantine/{layout.name}")
-    return quality.observed_rows(observed)
+def _set_aside(rows: DataFrame, root: str, layout: Layout, months: DataFrame | None = None) -> int:
+    """Write the rejected rows; with ``months`` those of other months stay."""
+    path = f"{root}/quarantine/{layout.name}"
+    spark = rows.sparkSession
+    fresh, count = materialise(rows)
+    if months is not None:
+        try:
+            before = spark.read.schema(fresh.schema).parquet(path)
+        except AnalysisException:  # nothing was set aside so far
+            before = fresh.limit(0)
+        before = before.withColumn("_month", event_month(F.col("event_date")))
+        others = before.join(F.broadcast(months.select(F.col("month").alias("_month"))), "_month", "left_anti").drop("_month")
+        fresh, _ = materialise(others.unionByName(fresh))
+    fresh.write.mode("overwrite").parquet(path)
+    return count
 
 
 def _log(
     spark: SparkSession,
     out: str,
+    run: str,
     cutoff: datetime | None,
     written: dict[str, int],
     aside: dict[str, int],
 ) -> None:
-    run = cutoff.strftime("%Y%m%dT%H%M%S") if cutoff else "all"
-    entries = [(name, written[name], aside[name], run) for name in written]
-    log = spark.createDataFrame(
-        entries, "table_name string, written_rows bigint, quarantined_rows bigint, run string"
-    )
-    (
-        log.coalesce(1)
-        .write.mode("overwrite")
-        .partitionBy("run")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(f"{out}/refresh_log")
-    )
+    """Appended in one file, last of all: from then on readers see the run."""
+    finished = datetime.now(UTC)
+    entries = [(name, written[name], aside[name], cutoff, run, finished) for name in written]
+    spark.createDataFrame(entries, LOG).coalesce(1).write.mode("append").parquet(f"{out}/refresh_log")

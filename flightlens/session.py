@@ -18,8 +18,6 @@ DEFAULTS = {
     # Files of a few hundred MB when publishing with the rebalance hint.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
-    # Checkpointed lookups are dropped with the DataFrame that owns them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,7 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     named = tempfile.mkdtemp(prefix="flightlens-")
     spark.conf.set("spark.checkpoint.dir", named)
@@ -77,11 +76,11 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
 
     Used for per-key tables that several later steps read, so that the rows
     behind them are scanned once and the size of the table is known before a
-    plan depends on it.  A lost executor costs nothing: the files are reliable
-    storage.
+    plan depends on it.  A lost executor costs nothing, and later steps read only
+    the columns they use.  The folder is left to whoever cleans the shared one.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    written = df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "keys")
+    df.write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    # The number of rows stands in the files' footers.
     return written, written.count()

@@ -39,23 +39,25 @@ class Scaling:
         The shuffle join hashes the lookup instead of sorting both sides while
         a partition of the lookup has at most this many rows.
     rows_per_salt
-        A join key with more rows than this is spread over several tasks.
+        A join key with this many rows or more is spread over several tasks.
     hot_keys
-        How many of the largest keys a join spreads.  A key outside the first
-        ``hot_keys`` holds less than ``1 / hot_keys`` of all rows.
+        The most keys to spread, which bounds their broadcast.  N rows have at
+        most N / r keys of r rows, so where N is larger than ``hot_keys *
+        rows_per_salt``, a key is spread from N / ``hot_keys`` rows on.
     """
 
     one_task_rows: int = 100_000
     broadcast_rows: int = 500_000
     hashed_rows: int = 250_000
     rows_per_salt: int = 1_000_000
-    hot_keys: int = 1_000
+    hot_keys: int = 500_000
 
 
 RULES = Rules()
 SCALING = Scaling()
 
-# The poll payload and the raw table are defined with these.
+# The poll payload and the raw table are defined with these.  The cap is
+# what a load may be given; without one every record is loaded.
 PAYLOAD_CAP = 1000
 JDBC_BATCH_ROWS = 10_000
 FIELD_POSITIONS = {

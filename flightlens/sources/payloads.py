@@ -1,8 +1,9 @@
 """Poll payloads (JSON text) to typed raw reports.
 
 A payload is an object with a list ``states``; each element is a list whose
-positions have fixed meanings.  One Spark plan parses, caps, explodes and
-converts; bad payloads and bad records are kept aside with their reasons.
+positions have fixed meanings.  One Spark plan parses, explodes and converts.
+Nothing vanishes: a payload that cannot be read is one rejected row with its
+text, and so is every bad record and every record over a given cap.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from flightlens.functions import coerce
 from flightlens.operators import quality
 from flightlens.schema import RAW_FLIGHTS
-from flightlens.settings import FIELD_POSITIONS, PAYLOAD_CAP
+from flightlens.settings import FIELD_POSITIONS
 from flightlens.sources.raw import instant
 
 OK, EMPTY, MALFORMED, NO_STATES = "ok", "empty_body", "malformed_json", "no_states"
@@ -44,9 +45,27 @@ def read_payload_files(spark: SparkSession, path: str, one_per_line: bool = Fals
     )
 
 
+def readable(text: Column) -> Column:
+    """Bare NaN and Infinity, which some writers emit as numbers, as the texts of numbers.
+
+    Only where such a word stands between a separator and another one outside of
+    a quoted text; everything else is left as it is.
+    """
+    bare = r'("(?:[^"\\]|\\.)*+")|(?<![\w"])(-?Infinity|NaN)(?![\w"])'
+    odd = F.contains(text, F.lit("NaN")) | F.contains(text, F.lit("Infinity"))
+    return F.when(odd, _quoted(text, bare)).otherwise(text)
+
+
+def _quoted(text: Column, bare: str) -> Column:
+    # A quoted text is put back as it was; a bare word comes out in quotes.
+    marked = F.regexp_replace(text, bare, "$1\u0001$2\u0002")
+    marked = F.regexp_replace(marked, "\u0001\u0002", "")
+    return F.translate(marked, "\u0001\u0002", '""')
+
+
 def parse_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
     """Add ``states`` (NULL when there is nothing to load) and ``payload_status``."""
-    parsed = payloads.withColumn("_json", F.try_parse_json(text)).withColumn(
+    parsed = payloads.withColumn("_json", F.try_parse_json(readable(F.col(text)))).withColumn(
         "states", F.try_variant_get("_json", "$.states", "array<variant>")
     )
     status = (
@@ -58,17 +77,31 @@ def parse_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
     return parsed.withColumn("payload_status", status).drop("_json")
 
 
-def explode_states(
-    parsed: DataFrame, cap: int | None = PAYLOAD_CAP, text: str = "value"
-) -> DataFrame:
-    """One row per record (``position``, ``state``), the first ``cap`` of each payload.
+def explode_states(parsed: DataFrame, cap: int | None = None, text: str = "value") -> DataFrame:
+    """One row per record (``position``, ``state``), and one per unreadable payload.
+
+    ``payload_reason`` names what is wrong with the row before its fields are
+    looked at: the payload's status (then ``record`` has its text), or
+    ``over_cap`` for a record at or past ``cap``.  Empty bodies and payloads
+    without records have nothing to load and give no row.
 
     The payload text stays behind: it would be copied onto each of its records.
     """
-    states = F.col("states") if cap is None else F.slice("states", 1, cap)
     others = [c for c in parsed.columns if c not in (text, "states", "payload_status")]
-    loadable = parsed.filter(F.col("payload_status") == OK)
-    return loadable.select(*others, F.posexplode(states).alias("position", "state"))
+    unread = F.col("payload_status") == MALFORMED
+    one = F.array(F.lit(None).cast("variant"))
+    rows = parsed.filter((F.col("payload_status") == OK) | unread)
+    # Nulls in the place of the text for readable payloads: it is not copied.
+    kept = rows.select(
+        *others,
+        F.when(unread, F.col(text)).alias("record"),
+        F.when(unread, F.lit(MALFORMED)).alias("payload_reason"),
+        F.posexplode(F.when(unread, one).otherwise(F.col("states"))).alias("position", "state"),
+    )
+    if cap is None:
+        return kept
+    over = F.col("payload_reason").isNull() & (F.col("position") >= cap)
+    return kept.withColumn("payload_reason", F.when(over, "over_cap").otherwise(F.col("payload_reason")))
 
 
 def type_states(
@@ -84,7 +117,8 @@ def type_states(
 
     typed: dict[str, Column] = {}
     # Each looks at the element again only where the typed value came out NULL.
-    checks: dict[str, Column] = {"not_a_list": F.col("_fields").isNull()}
+    whole_payload = F.col("payload_reason").isNotNull() if "payload_reason" in records.columns else F.lit(False)
+    checks: dict[str, Column] = {"not_a_list": F.col("_fields").isNull() & ~whole_payload}
     for field in RAW_FLIGHTS:
         name, kind = field.name, field.dataType.simpleString()
         if name not in elements:
@@ -101,13 +135,16 @@ def type_states(
                 checks[f"{name}_out_of_range"] = F.col(name).isNull() & whole
     rows = listed.withColumns({**typed, "fetch_time": fetch_time})
     rows = quality.with_reasons(rows, {**checks, **quality.text_length_checks()})
+    if "payload_reason" in records.columns:
+        found = F.array_compact(F.array("payload_reason"))
+        rows = rows.withColumn(quality.REASONS, F.concat(found, quality.REASONS))
     return rows.drop("_fields")
 
 
 def raw_from_payloads(
     payloads: DataFrame,
     fetch_time: datetime | Column,
-    cap: int | None = PAYLOAD_CAP,
+    cap: int | None = None,
     positions: Mapping[str, int] = FIELD_POSITIONS,
 ) -> DataFrame:
     """Typed records of all payloads, good and bad.
@@ -123,8 +160,7 @@ def accepted_rows(typed: DataFrame) -> DataFrame:
 
 
 def rejected_rows(typed: DataFrame) -> DataFrame:
-    """Bad records as text, with their reasons, place and arrival."""
+    """Bad records and unreadable payloads as text, with their reasons, place and arrival."""
     place = [c for c in ("file_path", "position") if c in typed.columns]
-    return quality.rejected(typed).select(
-        "fetch_time", *place, F.to_json("state").alias("record"), quality.REASONS
-    )
+    record = F.coalesce("record", F.to_json("state")) if "record" in typed.columns else F.to_json("state")
+    return quality.rejected(typed).select("fetch_time", *place, record.alias("record"), quality.REASONS)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlens.operators.enrich import enrich
 from flightlens.plans.refresh import publish_months
 from flightlens.schema import RAW_FLIGHTS
-from flightlens.settings import PAYLOAD_CAP, RULES, SCALING, Rules, Scaling
+from flightlens.settings import RULES, SCALING, Rules, Scaling
 from flightlens.sources.payloads import accepted_rows, raw_from_payloads, rejected_rows
 from flightlens.sources.raw import instant, read_parquet
 
@@ -37,7 +37,7 @@ def land_payloads(
     fetch_time: datetime | None = None,
     one_per_line: bool = False,
     files_per_batch: int | None = None,
-    cap: int | None = PAYLOAD_CAP,
+    cap: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Load everything that has landed since the last run, then stop.
 

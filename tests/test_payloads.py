@@ -30,7 +30,7 @@ def record(**changes):
     return list(values.values())
 
 
-def load(spark, *records, cap=1000):
+def load(spark, *records, cap=None):
     text = json.dumps({"states": list(records)})
     return raw_from_payloads(spark.createDataFrame([(text,)], "value string"), LOADED, cap)
 
@@ -168,7 +168,9 @@ def test_payloads_with_nothing_to_load(spark):
     df = spark.createDataFrame([(t,) for t in texts], "value string")
     parsed = parse_payloads(df)
     assert {r.value: r.payload_status for r in parsed.collect()} == texts
-    assert explode_states(parsed).count() == 1
+    rows = explode_states(parsed).collect()
+    assert [r.payload_reason for r in rows if r.record is None] == [None]
+    assert [r.record for r in rows if r.payload_reason] == ["{bad"]
 
 
 def test_positions_are_a_parameter(spark):
@@ -184,5 +186,24 @@ def test_files(spark, tmp_path):
     (tmp_path / "c.json").write_text("{bad")
     payloads = read_payload_files(spark, str(tmp_path))
     typed = raw_from_payloads(payloads, F.col("file_modification_time"))
-    assert typed.count() == 2
+    assert accepted_rows(typed).count() == 2
+    assert [r.record for r in rejected_rows(typed).collect()] == ["{bad"]
     assert typed.first().fetch_time is not None
+
+
+def test_nothing_vanishes(spark):
+    """Loaded and rejected records add up to the records, and unreadable payloads keep their text."""
+    many = json.dumps({"states": [record(last_contact=i) for i in range(1500)]})
+    cut, bare = many[:-40], '{"states": [["a", "NaN, Infinity", "x", 1, 2, NaN, -Infinity]]}'
+    twice = '{"states": [], "states": [[1]]}'
+    rows = [(1, many), (2, cut), (3, bare), (4, twice), (5, ""), (6, '{"states": []}')]
+    payloads = spark.createDataFrame(rows, "payload_id int, value string")
+    for cap, loaded in ((None, 1501), (1000, 1001)):
+        typed = raw_from_payloads(payloads, datetime(2024, 1, 1), cap=cap)
+        rejects = rejected_rows(typed).collect()
+        assert accepted_rows(typed).count() == loaded
+        assert sorted(r.record for r in rejects if r.reject_reasons == ["malformed_json"]) == sorted([cut, twice])
+        assert sum(r.reject_reasons == ["over_cap"] for r in rejects) == 1501 - loaded
+        assert len(rejects) == 2 + 1501 - loaded
+    got = accepted_rows(raw_from_payloads(payloads.filter("payload_id = 3"), datetime(2024, 1, 1))).first()
+    assert got.callsign == "NaN, Infinity" and got.longitude != got.longitude and got.latitude == float("-inf")

@@ -10,7 +10,8 @@ from flightlens import plans
 from flightlens.operators import quality
 from flightlens.operators.dedupe import first_reports
 from flightlens.operators.enrich import enrich
-from flightlens.plans.refresh import quarantined_reports, refresh, refresh_months
+from flightlens.plans import refresh as refreshing
+from flightlens.plans.refresh import published_path, quarantined_reports, refresh, refresh_months
 from flightlens.schema import (
     ANALYTICS_LAYOUT,
     COUNTRY_LAYOUT,
@@ -52,13 +53,13 @@ def year(reports):
 def test_refresh_twice_gives_the_same_tables(spark, year, tmp_path):
     out = str(tmp_path)
     first = refresh(year, out)
-    tables = {n: rows_of(publish.read_published(spark, f"{out}/{n}", LAYOUTS[n])) for n in first.written}
+    tables = {n: rows_of(publish.read_published(spark, published_path(spark, out, n), LAYOUTS[n])) for n in first.written}
     second = refresh(year, out)
-    again = {n: rows_of(publish.read_published(spark, f"{out}/{n}", LAYOUTS[n])) for n in first.written}
+    again = {n: rows_of(publish.read_published(spark, published_path(spark, out, n), LAYOUTS[n])) for n in first.written}
     assert tables == again and first == second
     assert {n: len(rows) for n, rows in tables.items()} == first.written
     log = spark.read.parquet(f"{out}/refresh_log")
-    assert log.count() == 3
+    assert log.count() == 2 * len(first.written) == 8
 
 
 def test_refresh_accounts_for_every_report(year, tmp_path):
@@ -72,10 +73,10 @@ def test_refresh_accounts_for_every_report(year, tmp_path):
 def test_month_directories_and_pruning(spark, year, tmp_path):
     out = str(tmp_path)
     refresh(year, out)
-    months = {p.name for p in Path(out, "enriched_flights").glob("event_month=*")}
+    months = {p.name for p in Path(published_path(spark, out, "enriched_flights")).glob("event_month=*")}
     assert months == {"event_month=202401", "event_month=202402", "event_month=202403"}
     february = publish.read_published(
-        spark, f"{out}/enriched_flights", ENRICHED_LAYOUT, date(2024, 2, 10), date(2024, 2, 12)
+        spark, published_path(spark, out, "enriched_flights"), ENRICHED_LAYOUT, date(2024, 2, 10), date(2024, 2, 12)
     )
     assert {r.event_date for r in february.select("event_date").collect()} == {
         date(2024, 2, 10),
@@ -91,7 +92,7 @@ def test_cutoff_is_one_snapshot(spark, year, tmp_path):
     done = refresh(year, str(tmp_path), cutoff)
     early = year.filter(F.col("fetch_time") <= F.lit(cutoff.replace(tzinfo=UTC)))
     assert sum(t[k]["enriched_flights"] for t in [vars(done)] for k in t) == early.count()
-    table = publish.read_published(spark, f"{tmp_path}/country_stats", COUNTRY_LAYOUT)
+    table = publish.read_published(spark, published_path(spark, str(tmp_path), "country_stats"), COUNTRY_LAYOUT)
     assert table.agg(F.sum("total_aircraft")).first()[0] == early.count()
 
 
@@ -100,7 +101,7 @@ def test_incremental_months_equal_a_full_refresh(spark, year, tmp_path):
     refresh_months(year, f"{tmp_path}/steps", since=datetime(2024, 2, 10))
     refresh(year, f"{tmp_path}/whole")
     steps, whole = (
-        publish.read_published(spark, f"{tmp_path}/{n}/flights_analytics", ANALYTICS_LAYOUT)
+        publish.read_published(spark, published_path(spark, f"{tmp_path}/{n}", "flights_analytics"), ANALYTICS_LAYOUT)
         for n in ("steps", "whole")
     )
     assert rows_of(steps) == rows_of(whole)
@@ -109,13 +110,61 @@ def test_incremental_months_equal_a_full_refresh(spark, year, tmp_path):
 def test_incremental_leaves_other_months_alone(spark, year, tmp_path):
     out = str(tmp_path)
     refresh(year, out)
-    folder = Path(out, "flights_analytics", "event_month=202401")
+    folder = Path(published_path(spark, out, "flights_analytics"), "event_month=202401")
     before = {p.name: p.stat().st_mtime_ns for p in folder.iterdir()}
     done = refresh_months(year, out, since=datetime(2024, 3, 5))
     assert done.written["flights_analytics"] > 0
     assert {p.name: p.stat().st_mtime_ns for p in folder.iterdir()} == before
 
 
+def test_an_earlier_cutoff_leaves_nothing_of_the_later_run(spark, year, tmp_path):
+    out, cutoff = str(tmp_path / "both"), datetime(2024, 2, 1)
+    refresh(year, out)
+    refresh(year, out, cutoff)
+    refresh(year, str(tmp_path / "fresh"), cutoff)
+    for name, layout in LAYOUTS.items():
+        tables = [publish.read_published(spark, published_path(spark, o, name), layout) for o in (out, str(tmp_path / "fresh"))]
+        assert rows_of(tables[0]) == rows_of(tables[1])
+
+
+def test_readers_keep_the_old_run_when_a_write_fails(spark, year, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    refresh(year, out)
+    path = published_path(spark, out, "country_stats")
+
+    def fails(*_, **__):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(refreshing, "_publish_summary", fails)
+    with pytest.raises(OSError):
+        refresh(year, out, datetime(2024, 2, 1))
+    assert published_path(spark, out, "country_stats") == path
+
+
+def test_quarantine_outlives_other_months(spark, year, tmp_path):
+    out = str(tmp_path)
+    refresh(year, out)
+    path = published_path(spark, out, "quarantine/flights_analytics")
+    before = rows_of(spark.read.parquet(path))
+    assert refresh_months(year, out, since=datetime(2024, 3, 5)).quarantined == {"flights_analytics": 0}
+    assert rows_of(spark.read.parquet(path)) == before and before
+
+
+def test_the_source_is_read_for_one_write_only(spark, year, tmp_path):
+    year.write.parquet(f"{tmp_path}/raw")
+    raw_rows = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        raw_rows.add(1)
+        return row["icao24"]
+
+    counted = spark.read.parquet(f"{tmp_path}/raw")
+    marked = counted.withColumn("icao24", F.udf(seen, "string").asNondeterministic()(F.struct("icao24")))
+    refresh(marked.select(*RAW_FLIGHTS.names), f"{tmp_path}/out", dedupe=True)
+    # Removing repeats reads the rows with and without a time apart; nothing reads them again.
+    assert year.count() <= raw_rows.value <= 2 * year.count()
+
+
 def test_nothing_new(year, tmp_path):
     assert refresh_months(year, str(tmp_path), since=datetime(2030, 1, 1)).written == {"flights_analytics": 0}
 

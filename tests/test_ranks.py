@@ -123,10 +123,32 @@ def test_full_value_range(spark):
         assert [r["rank"] for r in got] == list(range(1, 10))
 
 
-def test_only_bounded_numbers_are_ranked(spark):
-    df = spark.createDataFrame([(1.5,)], "v double")
-    with pytest.raises(ValueError, match="decimal"):
-        rank_overall(df, "v", "rank", Scaling(one_task_rows=0, broadcast_rows=0))
+@pytest.mark.parametrize("shape", SHAPES)
+def test_what_is_ranked_does_not_depend_on_the_size(spark, shape):
+    rows = [("a", "b"), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    sizes = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    for attempt in (
+        lambda: rank_within(df, ["g"], "v", "r", scaling=SHAPES[shape]),
+        lambda: rank_and_compare(df, "g", "v", "r", "o", NAMES, SHAPES[shape]),
+        lambda: lower_median(df, ["g"], "v", "m", sizes, "n", SHAPES[shape]),
+    ):
+        with pytest.raises(ValueError, match="ranking takes a number"):
+            attempt()
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint"])
+def test_every_number_is_ranked_at_every_size(spark, kind):
+    rows = [(f"g{i % 3}", None if i % 11 == 0 else float(i * 7 % 13)) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("v", F.col("v").cast(kind))
+    sizes = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    found = set()
+    for scaling in (SHAPES["broadcast"], SHAPES["salted"]):
+        ranked = rank_overall(df, "v", "o", scaling)
+        top = rank_within(df, ["g"], "v", "r", top=4, scaling=scaling)
+        median = lower_median(df, ["g"], "v", "m", sizes, "n", scaling)
+        found.add(tuple(repr(sorted(map(repr, d.collect()))) for d in (ranked, top, median)))
+    assert len(found) == 1
 
 
 @pytest.mark.parametrize("small", [True, False])

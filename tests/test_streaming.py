@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flightlens import plans
 from flightlens.operators.dedupe import first_reports_in_stream
 from flightlens.operators.enrich import enrich
+from flightlens.plans.refresh import published_path
 from flightlens.schema import ANALYTICS_LAYOUT, RAW_FLIGHTS
 from flightlens.sources.publish import read_published
 from flightlens.sources.raw import read_parquet
@@ -31,9 +32,10 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     (landed / "2.json").write_text("{bad")
     (landed / "3.json").write_text("")
     raw, rejects = land(spark, tmp_path)
-    assert (raw.count(), rejects.count()) == (2, 1)
+    assert (raw.count(), rejects.count()) == (2, 2)
+    assert "{bad" in {r.record for r in rejects.collect()}
     raw, rejects = land(spark, tmp_path)
-    assert (raw.count(), rejects.count()) == (2, 1)
+    assert (raw.count(), rejects.count()) == (2, 2)
     (landed / "4.json").write_text(json.dumps({"states": [RECORD]}, indent=1))
     raw, _ = land(spark, tmp_path)
     assert raw.count() == 3
@@ -59,7 +61,7 @@ def test_summary_follows_the_raw_table(spark, reports, tmp_path):
         batch = reports(*[{"time_position": first + i * 3600, "velocity": i * 10.0} for i in range(5)])
         batch.withColumn("fetch_time", stamp).write.mode("append").parquet(raw_path)
         refresh_arrivals(spark, raw_path, out, checkpoint).awaitTermination()
-    got = read_published(spark, f"{out}/flights_analytics", ANALYTICS_LAYOUT).drop("event_month")
+    got = read_published(spark, published_path(spark, out, "flights_analytics"), ANALYTICS_LAYOUT).drop("event_month")
     full = plans.flights_analytics(enrich(read_parquet(spark, raw_path)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
     assert got.agg(F.sum("flight_count")).first()[0] == 15
