@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from flightlens.llm.common import work_table
 from flightlens.llm.pivots import usable
 
-DEGREE = 20
-REVERSE = 10
+DEGREE = 30
+REVERSE = 20
 ORDERS = 4
 GROUP = 48
-ROUNDS = 6
+ROUNDS = 8
 BEAM = 64
 WIDTH = 16
 ENTRIES = 64
@@ -59,7 +59,8 @@ def _packed(vector: Column, kind: str, top: float | None = None) -> Column:
             v = np.asarray(v, np.float64)
             if top is not None:
                 v = np.append(v, np.sqrt(max(0.0, top - v @ v))) / np.sqrt(top)
-            made.append(v.astype(kind).tobytes())
+            # Whole numbers of one byte are enough to build the graph.
+            made.append((np.rint(v * 127) if kind == "i1" else v).astype(kind).tobytes())
         return pd.Series(made, dtype=object)
 
     return pack(vector)
@@ -87,7 +88,7 @@ def distinct_nodes(vectors: DataFrame, k: int) -> tuple[DataFrame, float]:
     copies = F.row_number().over(Window.partitionBy("node").orderBy("vector"))
     nodes = nodes.withColumn("_copy", copies)
     number = F.when(F.col("_copy") == 1, F.col("node")).otherwise(F.xxhash64("node", "vector"))
-    nodes = nodes.select(number.alias("node"), "ids", "vector", _packed(F.col("vector"), "<f2", top).alias("packed"))
+    nodes = nodes.select(number.alias("node"), "ids", "vector", _packed(F.col("vector"), "i1", top).alias("packed"))
     return work_table(nodes, "ann-nodes"), top
 
 
@@ -95,12 +96,12 @@ def _best_of_groups(members: list[np.ndarray], packed: list[list[bytes]], bounds
     """For each member of each group its ``most`` best others above its bound."""
     size = max(len(m) for m in members)
     ids = np.full((len(members), size), -1, np.int64)
-    wide = len(packed[0][0]) // 2
+    wide = len(packed[0][0])
     x = np.zeros((len(members), size, wide), np.float32)
     least = np.full((len(members), size), np.inf, np.float32)
     for i, m in enumerate(members):
         ids[i, : len(m)] = m
-        x[i, : len(m)] = np.frombuffer(b"".join(packed[i]), "<f2").reshape(len(m), wide)
+        x[i, : len(m)] = np.frombuffer(b"".join(packed[i]), "i1").reshape(len(m), wide)
         least[i, : len(m)] = -np.inf if bounds is None else bounds[i]
     score = x @ x.transpose(0, 2, 1)
     there = np.arange(size)[None, :] < np.array([len(m) for m in members])[:, None]
@@ -132,7 +133,7 @@ def first_graph(nodes: DataFrame, orders: int = ORDERS, group: int = GROUP, degr
         def code(packed: pd.Series) -> pd.DataFrame:
             if not len(packed):
                 return pd.DataFrame({"code": [], "along": []})
-            x = _unpacked(list(packed), "<f2")
+            x = _unpacked(list(packed), "i1")
             planes = np.random.default_rng(seed).normal(size=(x.shape[1], 25)).astype(np.float32)
             side = x @ planes
             bits = (side[:, :24] > 0).astype(np.int64) @ (1 << np.arange(24)[::-1])
