@@ -34,7 +34,7 @@ from flightlens.llm.common import small_batches, work_table
 
 WINDOW = 1024
 END = 0
-SHARD_ROWS = 2_048
+SHARD_ROWS = 1_024
 FIRST = 16
 K1, B = 1.2, 0.75
 
@@ -101,32 +101,32 @@ def idf_table(rest: DataFrame, vocabulary: int) -> tuple[np.ndarray, float]:
 
 
 class Shard:
-    """BM25 inverted index over the pieces of a shard; term lists are runs of sorted arrays."""
+    """BM25 inverted index over the pieces of a shard.
+
+    Each term that two or more pieces share has a list with its weight in every
+    piece; the lists are rows of one matrix, so a query adds up rows.  A term of
+    one piece only can lead to no neighbour and has no list.
+    """
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
-        terms, places, counts = [], [], []
-        for place, piece in enumerate(ids):
-            term, n = np.unique(piece, return_counts=True)
-            terms.append(term)
-            places.append(np.full(len(term), place))
-            counts.append(n)
-        self.terms = terms
-        term, place, tf = (np.concatenate(c) for c in (terms, places, counts))
-        order = np.argsort(term, kind="stable")
-        term, self._place, tf = term[order], place[order], tf[order].astype(np.float32)
-        length = np.array([len(p) for p in ids], np.float32)[self._place]
-        self._weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-        self._known, starts = np.unique(term, return_index=True)
-        self._bounds = np.append(starts, len(term))
-        self._size = len(ids)
+        counted = [np.unique(piece, return_counts=True) for piece in ids]
+        sizes = [len(term) for term, _ in counted]
+        term, tf = (np.concatenate(c) for c in zip(*counted, strict=True))
+        place = np.repeat(np.arange(len(ids)), sizes)
+        known, row, shared = np.unique(term, return_inverse=True, return_counts=True)
+        length = np.array([len(p) for p in ids], np.float32)[place]
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+        kept = shared >= 2
+        number = np.cumsum(kept) - 1
+        met = kept[row]
+        self._lists = np.zeros((int(kept.sum()), len(ids)), np.float32)
+        self._lists[number[row[met]], place[met]] = weight[met]
+        ends = np.cumsum(np.bincount(place[met], minlength=len(ids)))[:-1]
+        self._rows = np.split(number[row[met]], ends)
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every piece for the terms of one of them."""
-        at = np.searchsorted(self._known, self.terms[seed])
-        starts, sizes = self._bounds[at], self._bounds[at + 1] - self._bounds[at]
-        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        rows = np.repeat(starts, sizes) + inside
-        return np.bincount(self._place[rows], self._weight[rows], self._size)
+        """BM25 of every other piece for the terms of one of them."""
+        return self._lists.take(self._rows[seed], axis=0).sum(axis=0)
 
 
 def fill_windows(

@@ -68,6 +68,8 @@ def test_scores_are_bm25():
     shard = packing.Shard(ids, idf, mean)
     for seed in (0, 7):
         for place, p in enumerate(ids):
+            if place == seed:
+                continue
             wanted = 0.0
             for t in set(ids[seed].tolist()):
                 tf = int((p == t).sum())
