@@ -77,6 +77,31 @@ def size_bounds(size: int, threshold: Fraction) -> range:
     return range(-(-size * ratio.numerator // ratio.denominator), size * ratio.denominator // ratio.numerator + 1)
 
 
+def needles(grams: list[str], threshold: Fraction) -> list[str]:
+    """Strings of which every match of the template holds at least one.
+
+    Long words that stand in several bigrams are preferred, as they make few needles.
+    """
+    size = len(grams)
+    # 2 s >= t (|A| + size) and |A| >= s give s >= t size / (2 - t).
+    shared = -(-size * threshold.numerator // (2 * threshold.denominator - threshold.numerator))
+    short_of = size - shared + 1
+    found, open_ = [], set(grams)
+    while size - len(open_) < short_of:
+        by_word: dict[str, set[str]] = {}
+        for gram in open_:
+            for word in gram.split():
+                if len(word) >= 6:
+                    by_word.setdefault(word, set()).add(gram)
+        best = max(by_word, key=lambda w: (len(by_word[w]), len(w), w), default=None)
+        if best is None:
+            best = max(open_, key=lambda g: (len(g), g))
+            by_word = {best: {best}}
+        found.append(best)
+        open_ -= by_word[best]
+    return found
+
+
 def units(text: Column) -> Column:
     """Normalised lines, paragraphs of several lines and the whole text, each once."""
     spaced = F.regexp_replace(F.translate(text, _UPPER, _LOWER), "[^a-z0-9\n]+", " ")
@@ -113,7 +138,11 @@ def scan(
         rows, "license string, _template array<string>, template_size int, unit_size int"
     )
     sizes = [r[3] for r in rows] or [0]
-    cut = docs.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
+    held = sorted({n for g in made.values() if g for n in needles(g, threshold)})
+    # One search from the starts of words, on the text as it is.
+    searched = "(?i)(?<![a-z0-9])(?:" + "|".join(n.replace(" ", "[^a-z0-9]+") for n in held) + ")"
+    texts = docs.select("doc_id", "text").where(F.col("text").rlike(searched) if held else F.lit(False))
+    cut = texts.select("doc_id", F.explode(units(F.col("text"))).alias("unit"))
     # Words bound bigrams from above, and repeated bigrams only lower their number.
     cut = cut.where(F.size(F.split("unit", " ")) > min(sizes))
     sized = cut.withColumn("_bigrams", bigrams(F.col("unit"))).withColumn("unit_size", F.size("_bigrams"))

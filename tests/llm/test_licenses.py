@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import re
 from fractions import Fraction
 
@@ -30,6 +32,18 @@ def test_bounds_hold_what_can_match(threshold):
         assert kept == can
 
 
+@pytest.mark.parametrize("threshold", [Fraction(1, 2), Fraction(4, 5), Fraction(1)])
+def test_every_match_holds_a_needle(threshold):
+    rng = random.Random(4)
+    for text in licenses.TEMPLATES.values():
+        grams = licenses.template_bigrams(text)
+        held = licenses.needles(grams, threshold)
+        least = math.ceil(len(grams) * threshold / (2 - threshold))
+        for _ in range(300):
+            shared = rng.sample(grams, least)
+            assert any(n in g for n in held for g in shared)
+
+
 def test_matches_equal_brute_force_and_sql(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     docs = spark.read.parquet(path)
@@ -47,12 +61,12 @@ def test_edge_cases(spark):
     header = licenses.TEMPLATES["apache-2.0-header"]
     rows = [(1, None), (2, ""), (3, "word"), (4, "x\nReleased under the MIT license\n"), (None, "RELEASED under the MIT License!"),
             (5, "y\n\n" + " ".join(header.split()[:40]) + "\n" + " ".join(header.split()[40:]) + "\n\nz"), (6, "a b " * 50_000),
-            (4, "x\nReleased under the MIT license\n")]
+            (7, "Licensed under \n CC - BY-NC 4.0"), (4, "x\nReleased under the MIT license\n")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'x' AS license", "1 AS unit")
     found = [(r["doc_id"], r["license"], r["unit"], r["shared"]) for r in licenses.scan(docs).collect()]
     wanted = [(i, *m) for i, t in rows for m in brute(t, licenses.TEMPLATES, Fraction(4, 5))]
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
-    assert {f[:2] for f in found} == {(4, "mit"), (None, "mit"), (5, "apache-2.0-header")}
+    assert {f[:2] for f in found} == {(4, "mit"), (None, "mit"), (5, "apache-2.0-header"), (7, "cc-by-nc-4.0")}
     assert licenses.scan(docs.limit(0)).count() == 0
     assert licenses.scan(docs, templates={}).count() == 0
 
