@@ -74,3 +74,32 @@ def test_edge_cases(spark):
 def test_no_python_on_the_main_path(spark):
     plan = licenses.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_standard_licences_are_found(spark):
+    texts = {p.stem: p.read_text("utf-8") for p in licenses._TEXTS.glob("*.txt")}
+    notices = {
+        "mpl-2.0-header": licenses._MPL_HEADER,
+        "agpl-3.0": "Licensed under the GNU Affero General Public License v3.0",
+        "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
+        "gpl-2.0-header": licenses.TEMPLATES["gpl-2.0-header"],
+        "lgpl-2.1-header": licenses.TEMPLATES["lgpl-2.1-header"],
+    }
+    assert {"apache-2.0", "gpl-3.0", "lgpl-2.1", "mpl-2.0", "mit", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "unlicense"} <= set(texts)
+    wanted = {name: text for name, text in notices.items()} | {f"{name}-text": text for name, text in texts.items()}
+    rows = [(name, "Copyright 2020 Somebody\n\n" + text) for name, text in wanted.items()]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    hits = {(r["doc_id"], r["license"]) for r in found}
+    assert {(name, name) for name in wanted} <= hits
+
+
+@pytest.mark.parametrize("threshold", [Fraction(1, 2), Fraction(4, 5), Fraction(1)])
+def test_least_length_leaves_no_match_out(threshold):
+    for text in licenses.TEMPLATES.values():
+        words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+        grams = licenses.template_bigrams(text)
+        # A prefix of the template that just reaches the coefficient.
+        for n in range(2, len(words) + 1, max(1, len(words) // 50)):
+            have = {f"{a} {b}" for a, b in zip(words[:n], words[1:n], strict=False)}
+            if have and Fraction(2 * len(have & set(grams)), len(have) + len(grams)) >= threshold:
+                assert len(" ".join(words[:n])) >= licenses.least_length(grams, threshold)
