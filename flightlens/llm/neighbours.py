@@ -8,10 +8,12 @@ then every node brings its neighbours (and some of those that name it) together,
 pairs of them are compared, and each node keeps its ``DEGREE`` best.  A round is
 joins and one grouping by node, of at most DEGREE + REVERSE + 1 rows, so a node
 that many others name is no hot group.  Nodes are compared on a sphere (one added
-component), where nearness and inner product agree.
+component), where nearness and inner product agree.  Direction, length and added
+component are held apart, so a few very long vectors take no digits from the others.
 
 Search: a query keeps a beam of its best nodes, starts at a bounded set of entry
-nodes and at its own vector if that is indexed, and expands the best nodes it has
+nodes (half of them the longest vectors, which are few vectors' near neighbours)
+and at its own vector if that is indexed, and expands the best nodes it has
 not expanded, until all of its beam is.  The nodes of the beam are scored again
 exactly, in double precision on the original vectors.
 
@@ -46,32 +48,49 @@ WIDTH = 16
 ENTRIES = 64
 _PAIRS_AT_ONCE = 256
 _RESULT = "query_id bigint, rank int, vec_id bigint, score double"
-_EDGES = "node bigint, near bigint, score float"
+_EDGES = "node bigint, near bigint, score double"
 
 
-def _packed(vector: Column, kind: str, top: float | None = None) -> Column:
-    """Vectors as bytes of a numpy type, with the added component if ``top`` is given."""
+def _packed(vector: Column, kind: str) -> Column:
+    """Vectors as bytes of a numpy type."""
+
+    @F.pandas_udf("binary")
+    def pack(vectors: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(v, np.float64).astype(kind).tobytes() for v in vectors], dtype=object)
+
+    return pack(vector)
+
+
+def _on_sphere(vector: Column, top: float) -> Column:
+    """Length and added component (doubles, in units of the largest length), then the direction (floats), as bytes."""
 
     @F.pandas_udf("binary")
     def pack(vectors: pd.Series) -> pd.Series:
         made = []
         for v in vectors:
             v = np.asarray(v, np.float64)
-            if top is not None:
-                v = np.append(v, np.sqrt(max(0.0, top - v @ v))) / np.sqrt(top)
-            # Whole numbers of one byte are enough to build the graph.
-            made.append((np.rint(v * 127) if kind == "i1" else v).astype(kind).tobytes())
+            square = v @ v
+            length = np.sqrt(square)
+            lift = np.sqrt(max(0.0, 1.0 - square / top))
+            made.append(np.array([length / np.sqrt(top), lift]).tobytes() + (v / length).astype("<f4").tobytes())
         return pd.Series(made, dtype=object)
 
     return pack(vector)
 
 
+def _from_sphere(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, added components and directions of packed nodes."""
+    raw = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+    ends = np.ascontiguousarray(raw[:, :16]).view("<f8")
+    return ends[:, 0], ends[:, 1], np.ascontiguousarray(raw[:, 16:]).view("<f4")
+
+
 def _unpacked(values: list[bytes], kind: str) -> np.ndarray:
     return np.stack([np.frombuffer(v, kind) for v in values]).astype(np.float32)
 
 
-def distinct_nodes(vectors: DataFrame, k: int) -> tuple[DataFrame, float]:
-    """(node, ids, vector, packed) of the distinct vectors, and their largest squared length."""
+def distinct_nodes(vectors: DataFrame, k: int) -> DataFrame:
+    """(node, ids, vector, packed) of the distinct vectors."""
     squared = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     kept = vectors.where(F.col("id").isNotNull() & usable(F.col("vector"))).select(
         F.col("id").cast("bigint").alias("id"), F.transform("vector", lambda x: x.cast("double")).alias("vector")
@@ -88,22 +107,26 @@ def distinct_nodes(vectors: DataFrame, k: int) -> tuple[DataFrame, float]:
     copies = F.row_number().over(Window.partitionBy("node").orderBy("vector"))
     nodes = nodes.withColumn("_copy", copies)
     number = F.when(F.col("_copy") == 1, F.col("node")).otherwise(F.xxhash64("node", "vector"))
-    nodes = nodes.select(number.alias("node"), "ids", "vector", _packed(F.col("vector"), "i1", top).alias("packed"))
-    return work_table(nodes, "ann-nodes"), top
+    nodes = nodes.select(number.alias("node"), "ids", "vector", _on_sphere(F.col("vector"), top).alias("packed"))
+    return work_table(nodes, "ann-nodes")
 
 
 def _best_of_groups(members: list[np.ndarray], packed: list[list[bytes]], bounds: list[np.ndarray] | None, most: int) -> pd.DataFrame:
     """For each member of each group its ``most`` best others above its bound."""
     size = max(len(m) for m in members)
     ids = np.full((len(members), size), -1, np.int64)
-    wide = len(packed[0][0])
+    wide = (len(packed[0][0]) - 16) // 4
     x = np.zeros((len(members), size, wide), np.float32)
-    least = np.full((len(members), size), np.inf, np.float32)
+    length, lift = np.zeros((2, len(members), size))
+    least = np.full((len(members), size), np.inf)
     for i, m in enumerate(members):
         ids[i, : len(m)] = m
-        x[i, : len(m)] = np.frombuffer(b"".join(packed[i]), "i1").reshape(len(m), wide)
+        length[i, : len(m)], lift[i, : len(m)], x[i, : len(m)] = _from_sphere(packed[i])
         least[i, : len(m)] = -np.inf if bounds is None else bounds[i]
-    score = x @ x.transpose(0, 2, 1)
+    # Minus the squared distance; the difference of two added components is small against them.
+    cosine = (x @ x.transpose(0, 2, 1)).astype(np.float64)
+    a, b = length[:, :, None], length[:, None, :]
+    score = -((a - b) ** 2 + (lift[:, :, None] - lift[:, None, :]) ** 2 + 2 * a * b * np.maximum(0.0, 1 - cosine))
     there = np.arange(size)[None, :] < np.array([len(m) for m in members])[:, None]
     score[~np.broadcast_to(there[:, None, :], score.shape)] = -np.inf
     score[:, np.arange(size), np.arange(size)] = -np.inf
@@ -129,15 +152,15 @@ def first_graph(nodes: DataFrame, orders: int = ORDERS, group: int = GROUP, degr
     """
 
     def coded(seed: int) -> Column:
-        @F.pandas_udf("code bigint, along float")
+        @F.pandas_udf("code bigint, along double")
         def code(packed: pd.Series) -> pd.DataFrame:
             if not len(packed):
                 return pd.DataFrame({"code": [], "along": []})
-            x = _unpacked(list(packed), "i1")
+            length, _, x = _from_sphere(list(packed))
             planes = np.random.default_rng(seed).normal(size=(x.shape[1], 25)).astype(np.float32)
             side = x @ planes
             bits = (side[:, :24] > 0).astype(np.int64) @ (1 << np.arange(24)[::-1])
-            return pd.DataFrame({"code": bits, "along": side[:, 24]})
+            return pd.DataFrame({"code": bits, "along": side[:, 24] * length})
 
         return code("packed")
 
@@ -169,7 +192,7 @@ def descend(graph: DataFrame, nodes: DataFrame, turn: int, degree: int = DEGREE,
     bound = graph.groupBy("node").agg(full.alias("bound"))
     known = nodes.select("node", "packed").join(bound, "node", "left").withColumnRenamed("node", "member")
     groups = met.join(known, "member").groupBy("at").agg(
-        F.collect_list(F.struct("member", "packed", F.coalesce("bound", F.lit(float("-inf")).cast("float")).alias("bound"))).alias("g")
+        F.collect_list(F.struct("member", "packed", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))).alias("g")
     )
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +203,7 @@ def descend(graph: DataFrame, nodes: DataFrame, turn: int, degree: int = DEGREE,
                 yield _best_of_groups(
                     [np.array([m["member"] for m in g]) for g in some],
                     [[m["packed"] for m in g] for g in some],
-                    [np.array([m["bound"] for m in g], np.float32) for g in some],
+                    [np.array([m["bound"] for m in g]) for g in some],
                     degree,
                 )
 
@@ -204,8 +227,11 @@ def build(nodes: DataFrame, rounds: int = ROUNDS, degree: int = DEGREE, settled:
 def search(vectors: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, width: int = WIDTH, entries: int = ENTRIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found by inner product for each query."""
     spark = vectors.sparkSession
-    nodes, top = distinct_nodes(vectors, k)
+    nodes = distinct_nodes(vectors, k)
+    squared = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    longest = nodes.orderBy(F.desc(squared), "node").limit(entries).select("node", "vector").toPandas()
     first = nodes.orderBy(F.xxhash64("node"), "node").limit(entries).select("node", "vector").toPandas()
+    first = pd.concat([first, longest]).drop_duplicates("node", ignore_index=True)
     if not len(first):
         return spark.createDataFrame([], _RESULT)
     graph = build(nodes)

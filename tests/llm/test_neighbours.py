@@ -52,6 +52,20 @@ def test_recall_with_clusters_lengths_and_copies(spark):
     assert recall(found, brute(rows, {i for i, _ in rows if i % 20 == 0}, 10)) >= 0.9
 
 
+def test_recall_beside_one_very_long_vector(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= 1000
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "id bigint, vector array<double>")
+    found = neighbours.search(vectors, vectors.where(F.col("id") % 20 == 0), 20).collect()
+    wanted = brute(rows, {i for i, _ in rows if i % 20 == 0}, 20)
+    assert recall(found, wanted) >= 0.9
+    first = {r["query_id"]: r["vec_id"] for r in found if r["rank"] == 1}
+    assert {q for q, w in wanted.items() if w[0] == 7} == {q for q, v in first.items() if v == 7}
+
+
 def test_edge_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, float("nan")]), (2, None), (3, [1.0, None]), (4, [float("inf"), 0.0]), (None, [1.0, 1.0]),
             (5, [0.0, 0.0]), (6, [1.0, 0.0]), (6, [1.0, 0.0]), (7, [1.0, 2.0, 3.0]), (8, [-1.0, 0.0]), (9, [])]
