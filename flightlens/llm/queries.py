@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, maxent, neighbours, packing, pivots, quality, simhash, toxicity
+from flightlens.llm import bpe, langid, licenses, maxent, neighbours, packing, phrases, pivots, quality, simhash, sql, toxicity
 from flightlens.llm.common import held_out, small_batches
 
 #: Every query against every row, without an index.
@@ -124,6 +124,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("id") % 20 == 0), k=20)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, percent=50, first=2000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -143,8 +147,9 @@ def queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_exact_topk": op9_exact_topk,
         "op10_neighbours": op10_neighbours,
+        "op11_phrases": op11_phrases,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses.oracle(), "op9_exact_topk": OP9_SQL}
+    return {"op2_licenses": licenses.oracle(), "op9_exact_topk": OP9_SQL, "op11_phrases": sql.OP11}
