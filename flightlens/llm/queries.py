@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, maxent, neighbours, packing, phrases, pivots, quality, simhash, sql, toxicity
+from flightlens.llm import bpe, langid, licenses, maxent, neighbours, packing, phrases, pivots, quality, repeats, simhash, sql, toxicity
 from flightlens.llm.common import held_out, small_batches
 
 #: Every query against every row, without an index.
@@ -128,6 +128,18 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, percent=50, first=2000)
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = repeats.without_repeats(_table(spark, sf_dir, "documents"), span=50)
+    taken = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return made.select(
+        "doc_id",
+        "n_bytes",
+        taken.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -148,6 +160,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_topk": op9_exact_topk,
         "op10_neighbours": op10_neighbours,
         "op11_phrases": op11_phrases,
+        "op12_repeats": op12_repeats,
     }
 
 
