@@ -50,7 +50,7 @@ BREAKS = ".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = "\x20\x09"
 
 #: Suffixes a bucket should have, and slots that leading words are counted in.
-IN_BUCKET = 2_000_000
+IN_BUCKET = 1_000_000
 SLOTS = 1 << 16
 #: A task reports the slots that hold at least this share of its own suffixes.
 REPORTED = 1 / 8192
@@ -62,47 +62,55 @@ _INSIDE = ~(_BREAKS | byte_class(BLANKS))
 
 
 class Suffixes:
-    """The suffixes of some texts: ``words[d]`` is the word at depth d, 0 past the end.
-
-    The leading word carries the language, so that one table of words serves all.
-    """
+    """The suffixes of some texts, one per word occurrence."""
 
     def __init__(self, rows: list[dict], longest: int) -> None:
         found = cut_words([r["text"] for r in rows], _INSIDE, _BREAKS)
-        langs, lang = np.unique([r["lang"] for r in rows], return_inverse=True)
-        number = len(found.table)
-        lead, first = np.unique(lang[found.text] * number + found.ids, return_inverse=True)
-        word = found.table.to_pylist()
-        prefix = [name.encode() + b"\n" for name in langs.tolist()]
-        leads = [prefix[one // number] + word[one % number] for one in lead.tolist()]
-        self.table = [b"", *leads, *word]
-        plain = hashes(found.table)
-        self.hash = np.concatenate(([0], hashes(pa.array(leads, pa.binary())), plain)).astype(np.uint64)
-        self.per_lang = dict(zip(langs.tolist(), np.bincount(lang[found.text], minlength=len(langs)).tolist(), strict=True))
+        self._langs, lang = np.unique([r["lang"] for r in rows], return_inverse=True)
+        self._lang, self._plain, self._ids, self._longest = lang[found.text], found.table, found.ids, longest
+        # Whether the word so many places on is in the same piece.
+        self._same = [found.piece[depth:] == found.piece[:-depth] for depth in range(1, longest)]
+        self._hash = hashes(found.table)
+        of_lang = hashes(pa.array([name.encode() for name in self._langs.tolist()], pa.binary()))
+        self.lead_hash = mixed(of_lang[self._lang], self._hash[found.ids])
+
+    def per_lang(self) -> dict[str, int]:
+        return dict(zip(self._langs.tolist(), np.bincount(self._lang, minlength=len(self._langs)).tolist(), strict=True))
+
+    def lead_hashes(self) -> Iterator[np.ndarray]:
+        """Hashes of the first word, the first two and so on, of the suffixes that are longer."""
+        made = self.lead_hash
+        yield made
+        for depth in range(1, self._longest - 1):
+            made = mixed(made[:-1], self._hash[self._ids[depth:]]) if depth < len(self._ids) else made[:0]
+            yield made[self._same[depth - 1]]
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray, list[bytes], list[np.ndarray]]:
+        """Distinct suffixes (the word at every depth, 0 past the end), their counts, the words
+        that the numbers stand for, and hashes of the leading words.
+
+        The leading word carries the language, so that one table serves all.
+        """
+        number = len(self._plain)
+        leads, first = np.unique(self._lang * number + self._ids, return_inverse=True)
         columns = [first + 1]
-        for depth in range(1, longest):
-            column = np.zeros(len(found.ids), np.int64)
-            same = found.piece[depth:] == found.piece[:-depth]
-            column[: len(found.ids) - depth][same] = found.ids[depth:][same] + 1 + len(leads)
+        for depth, same in enumerate(self._same, 1):
+            column = np.zeros(len(first), np.int64)
+            column[: len(same)] = np.where(same, self._ids[depth:] + 1 + len(leads), 0)
             columns.append(column)
-        self.words = np.array(columns)
-
-    def counted(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct suffixes and their counts."""
-        code = self.words[-1]
-        count = np.ones(0, np.int64)
-        for column in self.words[-2::-1]:
+        words, code = np.array(columns), columns[-1]
+        for column in columns[-2::-1]:
             _, at, code, count = np.unique((column << 32) | code, return_index=True, return_inverse=True, return_counts=True)
-        if len(self.words) == 1:
+        if len(columns) == 1:
             _, at, count = np.unique(code, return_index=True, return_counts=True)
-        return self.words[:, at], count
-
-    def prefix_hashes(self, words: np.ndarray) -> list[np.ndarray]:
-        """Hash of the leading word, of the leading two and so on."""
-        made = [self.hash[words[0]]]
+        words = words[:, at]
+        made = [self.lead_hash[at]]
+        known = np.concatenate((np.zeros(1 + len(leads), np.uint64), self._hash))
         for column in words[1:]:
-            made.append(mixed(made[-1], self.hash[column]))
-        return made
+            made.append(mixed(made[-1], known[column]))
+        plain, prefix = self._plain.to_pylist(), [name.encode() + b"\n" for name in self._langs.tolist()]
+        table = [b"", *[prefix[one // number] + plain[one % number] for one in leads.tolist()], *plain]
+        return words, count, table, made
 
 
 def lead_counts(texts: DataFrame, longest: int) -> DataFrame:
@@ -113,11 +121,10 @@ def lead_counts(texts: DataFrame, longest: int) -> DataFrame:
         slots, per_lang = np.zeros((longest - 1, SLOTS), np.int64), {}
         for rows in gathered(batches, "text"):
             made = Suffixes(rows, longest)
-            for name, n in made.per_lang.items():
+            for name, n in made.per_lang().items():
                 per_lang[name] = per_lang.get(name, 0) + n
-            for depth, code in enumerate(made.prefix_hashes(made.words)[:-1]):
-                there = made.words[depth] > 0
-                slots[depth] += np.bincount((code[there] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+            for depth, code in zip(range(longest - 1), made.lead_hashes(), strict=False):
+                slots[depth] += np.bincount((code % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
         depth, slot = np.nonzero(slots > REPORTED * max(1, slots[:1].sum()))
         yield pa.RecordBatch.from_pydict(
             {
@@ -150,11 +157,9 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, in_bucket: int = IN
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in gathered(batches, "text"):
-            made = Suffixes(rows, longest)
-            if not made.words.shape[1]:
+            words, count, table, code = Suffixes(rows, longest).counted()
+            if not len(count):
                 continue
-            words, count = made.counted()
-            code = made.prefix_hashes(words)
             # How many leading words are shared out over several buckets.
             level = np.zeros(len(count), np.int64)
             by = code[0] % np.uint64(SLOTS)
@@ -171,9 +176,9 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, in_bucket: int = IN
             for end in ends.tolist():
                 taken = order[begin:end]
                 used, local = np.unique(words[:, taken], return_inverse=True)
-                letters, lengths = packed_words([made.table[i] for i in used.tolist()])
+                letters, lengths = packed_words([table[i] for i in used.tolist()])
                 local = local.reshape(longest, -1).astype("<i4")
-                out.append((int(bucket[taken[0]]), int(level[taken[0]]), letters, lengths, local.tobytes(), count[taken].astype("<i8").tobytes()))
+                out.append((int(bucket[taken[0]]), int(level[taken[0]]), letters, lengths, local.tobytes(), count[taken].astype("<i4").tobytes()))
                 begin = end
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)],
@@ -181,7 +186,6 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, in_bucket: int = IN
             )
 
     def sort(table: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         parts = table.to_pydict()
         joined = unpacked_words(parts["letters"], parts["lengths"]).dictionary_encode()
         code = joined.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -190,7 +194,7 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, in_bucket: int = IN
         first = np.cumsum([0, *[len(x) // 4 for x in parts["lengths"]]])
         blocks = [first[i] + np.frombuffer(x, "<i4").reshape(longest, -1) for i, x in enumerate(parts["words"])]
         keys = code[np.concatenate(blocks, axis=1)]
-        weights = np.frombuffer(b"".join(parts["counts"]), "<i8")
+        weights = np.frombuffer(b"".join(parts["counts"]), "<i4").astype(np.int64)
         levels = np.repeat(parts["level"], [b.shape[1] for b in blocks])
         columns: dict[str, list] = {"lang": [], "phrase": [], "size": [], "n": []}
         for level in np.unique(levels).tolist():
