@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlens.llm import bpe, langid, licenses, maxent, neighbours, packing, phrases, pivots, quality, repeats, simhash, sql, toxicity
+from flightlens.llm import bpe, divergence, langid, licenses, maxent, neighbours, packing, phrases, pivots, quality, repeats, simhash, sql, toxicity
 from flightlens.llm.common import held_out, small_batches
 
 #: Every query against every row, without an index.
@@ -140,6 +140,10 @@ def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least_docs=3, first=200)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -161,8 +165,9 @@ def queries() -> dict[str, Query]:
         "op10_neighbours": op10_neighbours,
         "op11_phrases": op11_phrases,
         "op12_repeats": op12_repeats,
+        "op13_divergence": op13_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": licenses.oracle(), "op9_exact_topk": OP9_SQL, "op11_phrases": sql.OP11}
+    return {"op2_licenses": licenses.oracle(), "op9_exact_topk": OP9_SQL, "op11_phrases": sql.OP11, "op12_repeats": sql.OP12, "op13_divergence": sql.OP13}
