@@ -1,6 +1,7 @@
 """Command line: ``spark-submit`` or ``python -m flightlens``.
 
     ingest   landed payload files -> raw table
+    compact  small loads of the raw table -> larger ones
     refresh  raw table -> the three published tables
 """
 
@@ -11,7 +12,8 @@ from datetime import UTC, datetime
 
 from flightlens.plans.refresh import refresh
 from flightlens.session import build_session
-from flightlens.sources.raw import column_bounds, jdbc_options, partition_options, read_jdbc, read_parquet
+from flightlens.sources.raw import column_bounds, jdbc_options, partition_options, read_jdbc
+from flightlens.sources.rawstore import SMALL_LOAD, RawStore, read_raw
 from flightlens.streaming.landing import land_payloads
 
 
@@ -31,6 +33,11 @@ def _arguments() -> argparse.Namespace:
     ingest.add_argument("--checkpoints", required=True)
     ingest.add_argument("--one-per-line", action="store_true")
     ingest.add_argument("--cap", type=int, help="records loaded of each payload; the rest is rejected (default: all)")
+    ingest.add_argument("--dedupe", metavar="TIME", help="leave out reports that landed within this time before, such as '2 days'")
+
+    compact = commands.add_parser("compact")
+    compact.add_argument("--raw", required=True)
+    compact.add_argument("--small", type=int, default=SMALL_LOAD, help="rows below which a load is joined with others")
 
     renew = commands.add_parser("refresh")
     source = renew.add_mutually_exclusive_group(required=True)
@@ -44,7 +51,10 @@ def _arguments() -> argparse.Namespace:
     renew.add_argument("--out", required=True)
     renew.add_argument("--cutoff", type=_instant)
     renew.add_argument("--dedupe", action="store_true")
-    return parser.parse_args()
+    args = parser.parse_args()
+    if args.command == "refresh" and args.jdbc_url and args.cutoff is None:
+        parser.error("a database needs --cutoff: bounds and rows are one snapshot only with it")
+    return args
 
 
 def main() -> None:
@@ -52,14 +62,24 @@ def main() -> None:
     spark = build_session()
     try:
         if args.command == "ingest":
-            queries = land_payloads(
-                spark, args.landed, args.raw, args.rejects, args.checkpoints, one_per_line=args.one_per_line, cap=args.cap
+            landing = land_payloads(
+                spark,
+                args.landed,
+                args.raw,
+                args.rejects,
+                args.checkpoints,
+                one_per_line=args.one_per_line,
+                cap=args.cap,
+                dedupe=args.dedupe,
             )
-            for query in queries:
-                query.awaitTermination()
+            print(landing.wait())
+            return
+        if args.command == "compact":
+            entry = RawStore(spark, args.raw).compact(args.small)
+            print(f"{entry['loaded']} rows of {len(entry['replaces'])} loads joined" if entry else "nothing to join")
             return
         if args.raw:
-            raw = read_parquet(spark, args.raw)
+            raw = read_raw(spark, args.raw, args.cutoff)
         else:
             password = None
             if args.jdbc_password_file:

@@ -41,5 +41,21 @@ def first_reports_in_stream(
     return kept.unionByName(timed.filter(~identified))
 
 
+def first_records_in_stream(
+    typed: DataFrame, delay: str, good: Column, keys: Sequence[str] = REPORT_KEY
+) -> DataFrame:
+    """Typed payload records without good reports that landed less than ``delay`` before.
+
+    One pass over one stream: a record that is not ``good``, or has a NULL key, gets a
+    key that no other record has, and so is kept.  The watermark follows the time of
+    landing, so nothing is ever too late for it.  Of copies in one batch any may stay.
+    """
+    known = F.coalesce(good, F.lit(False)) & _identified(keys)
+    marks = {f"_by_{key}": F.when(known, F.col(key)) for key in keys}
+    marks["_alone"] = F.when(~known, F.expr("uuid()"))
+    marked = typed.withColumns({**marks, "_landed": F.current_timestamp()}).withWatermark("_landed", delay)
+    return marked.dropDuplicatesWithinWatermark(list(marks)).drop("_landed", *marks)
+
+
 def _identified(keys: Sequence[str]) -> Column:
     return reduce(and_, (F.col(key).isNotNull() for key in keys))

@@ -71,12 +71,20 @@ def observe_load(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observat
 def observed_rows(observation: Observation, counter: str = "total_rows") -> int:
     """A counter of :func:`observe_load`.
 
-    When Spark proves an input empty it drops the counter with the scan, and
-    the observation then has no row to read.
+    Zero where nothing was counted, see :func:`observed_values`.
+    """
+    return observed_values(observation).get(counter) or 0
+
+
+def observed_values(observation: Observation) -> dict[str, object]:
+    """All counters of an observation whose action has run.
+
+    When Spark proves an input empty it drops the counters with the scan, and
+    the observation then has no row to read: no counters.
     """
     try:
-        return observation.get[counter]
+        return dict(observation.get)
     except Py4JJavaError as missing:
         if "assertion failed" not in str(missing.java_exception):
             raise
-        return 0
+        return {}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,8 @@ from flightlens.sources.payloads import (
 )
 from flightlens.sources.publish import append_parquet, publish_parquet, read_published
 from flightlens.sources.raw import read_parquet
-from flightlens.streaming.landing import land_payloads
+from flightlens.sources.rawstore import RawStore, read_raw
+from flightlens.streaming.landing import Totals, land_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,21 +275,48 @@ def ingest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _land(spark: SparkSession, root: str, **options: object) -> Totals:
+    """One run of the landing stream below ``root``."""
+    places = (f"{root}/{name}" for name in ("landed", "raw", "rejects", "checkpoints"))
+    return land_payloads(spark, *places, one_per_line=True, **options).wait()
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows through landed files and a file stream."""
     root = scratch_path(spark, "landing")
     payloads(spark, sf_dir).select("value").write.text(f"{root}/landed")
-    for query in land_payloads(
-        spark,
-        f"{root}/landed",
-        f"{root}/raw",
-        f"{root}/rejects",
-        f"{root}/checkpoints",
-        fetch_time=LOAD_TIME,
-        one_per_line=True,
-    ):
-        query.awaitTermination()
-    return read_parquet(spark, f"{root}/raw")
+    _land(spark, root, fetch_time=LOAD_TIME)
+    return read_raw(spark, f"{root}/raw")
+
+
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded of total as the log of the raw table has it."""
+    root = scratch_path(spark, "landing")
+    payloads(spark, sf_dir).select("value").write.text(f"{root}/landed")
+    _land(spark, root, fetch_time=LOAD_TIME)
+    log = spark.read.parquet(RawStore(spark, f"{root}/raw").log_path)
+    counts = [F.sum(c).alias(c) for c in ("loaded", "rejected")]
+    return log.agg(F.sum(F.col("loaded") + F.col("rejected")).alias("records"), *counts, F.sum("unreadable").alias("unreadable_payloads"))
+
+
+def stream_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two polls of the same reports; the second lands after a restart of the stream."""
+    root = scratch_path(spark, "deduped")
+    for hour in range(2):
+        payloads(spark, sf_dir).select("value").write.mode("append").text(f"{root}/landed")
+        _land(spark, root, fetch_time=LOAD_TIME + timedelta(hours=hour), dedupe="2 days")
+    dated = read_raw(spark, f"{root}/raw").filter(F.col("time_position").isNotNull())
+    return dated.select(*[c for c in RAW_FLIGHTS.names if c in ("fetch_time", "icao24", "time_position")])
+
+
+def compacted_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four loads of the raw table, joined into one, as a reader of the log sees them."""
+    store = RawStore(spark, scratch_path(spark, "raw-store"))
+    raw = observations(spark, sf_dir)
+    for part in range(4):
+        store.add(raw.filter(F.pmod(F.col("last_contact"), F.lit(4)) == part), f"part-{part}")
+    store.compact()
+    return store.read()
 
 
 def dedupe_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,6 +398,9 @@ _PLAIN: dict[str, Query] = {
     "ingest_totals": ingest_totals,
     "text_limits": text_limits,
     "stream_landing": stream_landing,
+    "stream_totals": stream_totals,
+    "stream_deduped": stream_deduped,
+    "compacted_raw": compacted_raw,
     "dedupe_reports": dedupe_reports,
     "altitude_fallback": altitude_fallback,
     "valid_positions": valid_positions,

@@ -217,6 +217,9 @@ _SQL = {
         CAST(count(*) FILTER (WHERE length(origin_country) > 50) AS BIGINT) AS origin_country_too_long,
         CAST(0 AS BIGINT) AS squawk_too_long FROM loaded""",
     "stream_landing": _INGESTED,
+    "compacted_raw": f"WITH {_NUMBERED} SELECT {_RAW_COLUMNS} FROM numbered",
+    "stream_deduped": f"""WITH {_RECORDS} SELECT DISTINCT fetch_time, icao24, time_position FROM good
+        WHERE time_position IS NOT NULL""",
     "dedupe_reports": f"""WITH {_NUMBERED}, polled AS (
           SELECT {_RAW_COLUMNS} FROM numbered UNION ALL
           SELECT {_RAW_COLUMNS} FROM (SELECT * REPLACE (fetch_time + INTERVAL 1 HOUR AS fetch_time) FROM numbered)),
@@ -302,6 +305,8 @@ _SQL = {
         FROM analytics WHERE event_date IS NOT NULL""",
 }
 
+# One stream, two ways to count: the log of the raw table and the records themselves.
+_SQL["stream_totals"] = _SQL["ingest_totals"]
 _EARLY = _RANKED.replace("FROM numbered WHERE", "FROM numbered WHERE fetch_time <= TIMESTAMP '2024-01-16' AND")
 _ONCE = f"numbered AS (SELECT 0 AS event_id, once.* FROM ({_SQL['dedupe_reports']}) AS once)" + _RANKED[len(_NUMBERED) :]
 _MONTHLY = f"SELECT {_ENRICHED_COLUMNS}, strftime(event_date, '%Y%m') AS event_month FROM ranked WHERE {_DATED}"

@@ -26,6 +26,7 @@ from flightlens.session import materialise
 from flightlens.settings import RULES, SCALING, Rules, Scaling
 from flightlens.sources.publish import publish_parquet, read_published
 from flightlens.sources.raw import instant, snapshot
+from flightlens.sources.rawstore import EventRange, RawStore, within
 
 
 MOST_RANGES = 240
@@ -147,14 +148,15 @@ def refresh_months(
 
 
 def publish_months(
-    raw: DataFrame, arrived: DataFrame, out: str, rules: Rules, scaling: Scaling
+    raw: DataFrame | RawStore, arrived: DataFrame, out: str, rules: Rules, scaling: Scaling
 ) -> Published:
     """Recompute the months that the enriched reports ``arrived`` fall in.
 
     They replace those months in the newest finished run; before the first run
-    they make one of their own.
+    they make one of their own.  Of a raw store only the loads with reports of these
+    months are opened.
     """
-    spark = raw.sparkSession
+    spark = arrived.sparkSession
     month = event_month(F.col("event_date"))
     touched = arrived.filter(F.col("event_date").isNotNull()).select(
         F.trunc("event_date", "month").alias("first_day"), month.alias("month")
@@ -162,7 +164,8 @@ def publish_months(
     months, size = materialise(touched.distinct())
     if size == 0:
         return Published({ANALYTICS_LAYOUT.name: 0}, {ANALYTICS_LAYOUT.name: 0})
-    near = raw.filter(_within_months(months, size))
+    ranges = month_ranges(months, size)
+    near = raw.read(events=ranges) if isinstance(raw, RawStore) else raw.filter(within(ranges))
     base = enrich(near, rules).withColumn("month", month)
     base = base.join(F.broadcast(months) if size <= scaling.broadcast_rows else months, "month", "left_semi")
     base, _ = materialise(base.drop("month"))
@@ -176,8 +179,8 @@ def publish_months(
     return Published({ANALYTICS_LAYOUT.name: done}, {ANALYTICS_LAYOUT.name: aside})
 
 
-def _within_months(months: DataFrame, size: int) -> Column:
-    """``time_position`` in the touched months, as ranges a scan can prune by.
+def month_ranges(months: DataFrame, size: int) -> list[EventRange]:
+    """``time_position`` of the touched months, as ranges a scan can prune by.
 
     One range per run of neighbouring months; their outer days if they are very many.
     """
@@ -192,12 +195,12 @@ def _within_months(months: DataFrame, size: int) -> Column:
                 days[-1] = (days[-1][0], day)
             else:
                 days.append((day, day))
-    wanted = F.lit(False)
+    ranges = []
     for first, last in days:
         begin = int(datetime(first.year, first.month, 1, tzinfo=UTC).timestamp())
         end = int(datetime(last.year, last.month, 1, tzinfo=UTC).timestamp()) + 31 * 86_400
-        wanted = wanted | ((F.col("time_position") >= begin) & (F.col("time_position") < end))
-    return wanted
+        ranges.append((begin, end))
+    return ranges
 
 
 def _publish_summary(
