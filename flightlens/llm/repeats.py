@@ -7,11 +7,12 @@ smaller ``doc_id`` is removed.
    bytes belongs to an anchor: the smallest of its hashed substrings of ``core`` bytes.
    Neighbouring windows of one anchor are a run.  Equal windows have equal cores, and
    where two texts agree for long, their runs are equal as a whole.
-2. Only the hashes of cores and runs move, to learn which cores stand in two documents
-   (the others can repeat nothing), and whether their runs differ.
+2. Only hashes of cores, of the bytes beside them and of runs move, to learn which cores
+   stand in two documents (the others can repeat nothing), and whether their runs differ.
 3. What is left are suffixes: a run that is the same wherever its core stands is one
-   suffix; where runs differ, each of their windows is one.  Equal suffixes of a block
-   are one row.  Splitters sampled from the texts range-partition the suffixes by their
+   suffix; where runs differ, each window is one that has the half of its bytes to the
+   left or to the right of the core in common with another document.  Equal suffixes
+   of a block are one row.  Splitters sampled from the texts range-partition the suffixes by their
    leading bytes; a bucket is sorted by :func:`multikey.equal_partitions`, eight bytes
    a step, and equal suffixes are compared by document.  A suffix that stands among the
    splitters several times is dealt over as many buckets and compared across them.
@@ -28,6 +29,7 @@ Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,13 +48,17 @@ from flightlens.session import materialise
 SPAN = 50
 #: Bytes of a block, and of text per bucket of the two exchanges.
 BLOCK = 2 << 20
-IN_ROUTE, IN_BUCKET = 64 << 20, 24 << 20
+IN_ROUTE, IN_BUCKET = 16 << 20, 24 << 20
+#: Windows that are worked on together: their places fit 16 bits, their arrays a cache.
+SLICE = (1 << 16) - 256
 #: Sampled strings per splitter.
 SAMPLED = 32
 
 _ONE, _TWO = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256).astype(np.uint64)
-_BITS32 = np.uint64(32)
+_SHORT = _BYTES.astype(np.uint32)
+_BITS16, _BITS32 = np.uint32(16), np.uint64(32)
+_WHOLE, _LEFT, _RIGHT = 1, 2, 4
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -69,8 +75,8 @@ def _stirred(h: np.ndarray) -> np.ndarray:
 
 
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from every place on, by doubling."""
-    h, power, factor = _BYTES[data], 1, _ONE
+    """A 32-bit hash of the ``size`` bytes from every place on, by doubling."""
+    h, power, factor = _SHORT[data], 1, _ONE & 0xFFFFFFFF
     made, length = None, 0
     while True:
         if size & power:
@@ -78,12 +84,12 @@ def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
                 made = h
             else:
                 rest = h[length:]
-                made = made[: len(rest)] * np.uint64(factor) + rest
+                made = made[: len(rest)] * np.uint32(factor) + rest
             length += power
         if power * 2 > size:
-            return _stirred(made)
-        h = h[:-power] * np.uint64(factor) + h[power:]
-        factor, power = factor * factor % (1 << 64), power * 2
+            return (made ^ (made >> np.uint32(15))) * np.uint32(0x846CA68B)
+        h = h[:-power] * np.uint32(factor) + h[power:]
+        factor, power = factor * factor & 0xFFFFFFFF, power * 2
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -94,35 +100,51 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - length)], values[width - length :]) if length < width else values
 
 
-def _span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at_once: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each ``data[start : start + length]``; starts ascend."""
-    made = np.zeros((2, len(starts)), np.uint64)
-    for low in range(0, len(data), at_once):
-        a, b = np.searchsorted(starts, (low, low + at_once))
-        if a == b:
-            continue
-        begin, end = starts[a:b] - low, starts[a:b] + lengths[a:b] - low
-        here = _BYTES[data[low : low + int(end.max())]]
-        for i, factor in enumerate((_ONE, _TWO)):
-            inverse = pow(factor, -1, 1 << 64)
-            up = np.cumprod(np.full(len(here), factor, np.uint64))
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(here * up)))
-            down = np.cumprod(np.full(len(here) + 1, inverse, np.uint64))
-            made[i, a:b] = _stirred((sums[end] - sums[begin]) * down[begin] + lengths[a:b].astype(np.uint64))
-    return made[0], made[1]
-
-
-def _numbered(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, starts, number): rows in the order of the columns, where each distinct row
-    begins in it, and the number of every row's distinct row."""
-    order = np.lexsort(columns[::-1])
+@functools.cache
+def _powers(factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a factor and of its inverse."""
+    up = np.cumprod(np.full(size, factor, np.uint64))
+    return up, np.cumprod(np.full(size + 1, pow(factor, -1, 1 << 64), np.uint64))
+
+
+def _span_hashes(data: np.ndarray, factor: int, *spans: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Hashes of each ``data[start : start + length]``, for several columns of starts and
+    lengths; in every column the starts ascend."""
+    made = [np.zeros(len(start), np.uint64) for start, _ in spans]
+    longest = max((int(length.max()) for _, length in spans if len(length)), default=0)
+    for low in range(0, len(data), SLICE):
+        sums, end = None, low + SLICE + longest
+        for out, (start, length) in zip(made, spans, strict=True):
+            a, b = np.searchsorted(start, (low, low + SLICE))
+            if a == b:
+                continue
+            if sums is None:
+                here = _BYTES[data[low:end]]
+                up, down = _powers(factor, SLICE + longest)
+                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(here * up[: len(here)])))
+            begin, size = start[a:b] - low, length[a:b]
+            out[a:b] = _stirred((sums[begin + size] - sums[begin]) * down[begin] + size.astype(np.uint64))
+    return made
+
+
+def _mixed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return _stirred(one ^ (two * np.uint64(_TWO)))
+
+
+def _numbered(sorted_by: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, starts, number): rows in an order that brings equal ones together, where each distinct
+    row begins in it, and the number of every row's distinct row.
+
+    Rows that differ but are ``sorted_by`` the same may make several groups of equal rows.
+    """
+    order = np.argsort(sorted_by, kind="stable")
     if not len(order):
         return order, order, order
     new = np.zeros(len(order), bool)
     new[0] = True
-    for column in columns:
-        sorted_ = column[order]
-        new[1:] |= sorted_[1:] != sorted_[:-1]
+    for column in columns or (sorted_by,):
+        values = column[order]
+        new[1:] |= values[1:] != values[:-1]
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
     return order, np.flatnonzero(new), number
@@ -141,43 +163,66 @@ class Block:
 
     def __init__(self, row: dict, span: int) -> None:
         self.span, self.core = span, max(1, span * 18 // 50)
+        #: Windows that begin so far before their core have all bytes from there to its end in them.
+        self.half = (span - self.core + 1) // 2
         self.text = _expand(row["text"])
         self.data = np.frombuffer(self.text, np.uint8)
         self.sizes = np.array(row["sizes"], np.int64)
         self.ends = np.cumsum(self.sizes)
         self.ids = np.array(row["ids"], np.int64)
-        found = [self._runs(low, min(low + BLOCK, len(self.data))) for low in range(0, len(self.data), BLOCK)]
-        empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        self.start, self.windows, core = (np.concatenate(c) for c in zip(empty, *found, strict=True))
-        one, two = _span_hashes(self.data, self.start, self.windows + span - 1)
+        found = [self._runs(low, min(low + SLICE, len(self.data))) for low in range(0, len(self.data), SLICE)]
+        empty = [np.zeros(0, np.int64)] * 3
+        self.start, self.windows, self.anchor = (np.concatenate(c) for c in zip(empty, *found, strict=True))
+        run = self.start, self.windows + span - 1
+        room = len(self.data)
+        beside = np.maximum(self.anchor - self.half, 0)
+        spans = (
+            (self.anchor, np.full(len(self.anchor), self.core)),
+            run,
+            (beside, self.anchor + self.core - beside),
+            (self.anchor, np.minimum(self.anchor + span - self.half + 1, room) - self.anchor),
+        )
+        core, one, left, right = _span_hashes(self.data, _ONE, *spans)
+        (two,) = _span_hashes(self.data, _TWO, run)
         self.id = self.ids[np.searchsorted(self.ends, self.start, "right")]
-        order, firsts, self.group = _numbered(core, one, two)
-        self.cores, self.hashes = core[order][firsts], one[order][firsts]
+        rest = _mixed(_mixed(core, one), two)
+        order, firsts, self.group = _numbered((core >> _BITS32 << _BITS32) | (rest >> _BITS32), core, one, two)
+        shown = order[firsts]
+        self.cores, self.hashes, self.lefts, self.rights = (h[shown] for h in (core, one, left, right))
         self.least = _by_part(np.minimum, self.id[order], firsts)
-        # Two documents of the block have the core.
-        pairs, at, same = _numbered(core)
-        several = _by_part(np.minimum, self.id[pairs], at) != _by_part(np.maximum, self.id[pairs], at)
-        self.several = several[same][order][firsts]
+        # Whether two documents of the block have the core, and the bytes on a side of it.
+        self.several = [self._in_two(key)[shown] for key in (core, _mixed(core, left), _mixed(core, right))]
+
+    def _in_two(self, key: np.ndarray) -> np.ndarray:
+        order, firsts, number = _numbered(key)
+        low, high = (_by_part(how, self.id[order], firsts) for how in (np.minimum, np.maximum))
+        return (low != high)[number]
+
+    def left(self) -> np.ndarray:
+        """How many windows of each run begin ``half`` bytes or more before their core."""
+        return np.clip(self.anchor - self.start - self.half + 1, 0, self.windows)
 
     def _runs(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of the windows that start in a slice: first window, number of windows, hash of the core."""
+        """Runs of the windows that start in a slice: first window, number of windows, place of the core."""
         data = self.data[low : high + self.span - 1]
         if len(data) < self.span:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return (np.zeros(0, np.int64),) * 3
         core = _gram_hashes(data, self.core)
-        place = np.arange(len(core), dtype=np.uint64)
-        least = _sliding_least((core >> _BITS32 << _BITS32) | place, self.span - self.core + 1)
-        anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # Of equal hashes the first place counts, which depends on the bytes of the window alone.
+        place = np.arange(len(core), dtype=np.uint32)
+        least = _sliding_least((core >> _BITS16 << _BITS16) | place, self.span - self.core + 1)
+        anchor = (least & np.uint32(0xFFFF)).astype(np.int32)
+        new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
         # A window lies in one document.
-        crossed = np.zeros(len(anchor) + 1, np.int32)
-        for end in self.ends[(self.ends > low) & (self.ends < low + len(data))] - low:
-            crossed[max(0, end - self.span + 1)] += 1
-            crossed[min(end, len(anchor))] -= 1
-        first = np.flatnonzero(np.cumsum(crossed[:-1]) == 0)
-        anchor = anchor[first]
-        new = np.flatnonzero(np.concatenate(([True], (np.diff(anchor) != 0) | (np.diff(first) != 1)))) if len(first) else first
-        windows = np.diff(np.concatenate((new, [len(first)])))
-        return first[new] + low, windows, core[anchor[new]]
+        inside = np.ones(len(anchor), bool)
+        for end in (self.ends[(self.ends > low) & (self.ends < low + len(data))] - low).tolist():
+            inside[max(0, end - self.span + 1) : end] = False
+            new[end : end + 1] = True
+        first = np.flatnonzero(new & inside)
+        outside = np.flatnonzero(np.concatenate((~inside, [True])))
+        following = np.append(first[1:], len(anchor))
+        stops = np.minimum(following, outside[np.searchsorted(outside, first)])
+        return first + low, stops - first, anchor[first].astype(np.int64) + low
 
 
 def _by_part(how: np.ufunc, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -198,18 +243,22 @@ class Suffixes:
 
 
 def suffixes(block: Block, states: np.ndarray) -> Suffixes:
-    """Of the smallest document of a group of runs: the whole run (state 1) or its windows (state 2)."""
+    """Of the smallest document of a group of runs: the whole run, or the windows of a side."""
     state = states[block.group]
-    mine = (block.id == block.least[block.group]) & (state > 0)
-    parts = np.where(state[mine] == 1, 1, block.windows[mine])
-    start = np.repeat(block.start[mine], parts)
+    mine = np.flatnonzero((block.id == block.least[block.group]) & (state > 0))
+    state, windows, left = state[mine], block.windows[mine], block.left()[mine]
+    begin = np.where(state & (_WHOLE | _LEFT), 0, left)
+    end = np.where(state == _WHOLE, 1, np.where(state & _RIGHT, windows, left))
+    parts = np.maximum(end - begin, 0)
+    start = np.repeat(block.start[mine] + begin, parts)
     start += np.arange(len(start)) - np.repeat(np.cumsum(parts) - parts, parts)
-    length = np.repeat(np.where(state[mine] == 1, block.windows[mine], 1), parts) + block.span - 1
+    length = np.repeat(np.where(state == _WHOLE, windows, 1), parts) + block.span - 1
     ids = np.repeat(block.id[mine], parts)
-    one, two = _span_hashes(block.data, start, length)
-    order = np.lexsort((ids, two, one))
-    _, firsts, group = _numbered(one, two)
-    shown = order[firsts]
+    (one,), (two,) = (_span_hashes(block.data, factor, (start, length)) for factor in (_ONE, _TWO))
+    key = _mixed(one, two)
+    _, _, group = _numbered(key, one, two)
+    order = np.lexsort((ids, group))
+    shown = order[np.searchsorted(group[order], np.arange(group.max(initial=-1) + 1))]
     return Suffixes(start, length, ids, group, ids[shown], shown)
 
 
@@ -248,49 +297,68 @@ def _with_replies(blocks: DataFrame, **replies: DataFrame) -> DataFrame:
     return blocks
 
 
+def _packed(hashes: np.ndarray, size: int) -> bytes:
+    """The lower bytes of each hash."""
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _unpacked(packed: list[bytes], size: int) -> np.ndarray:
+    short = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, size)
+    return np.pad(short, ((0, 0), (0, 8 - size))).view("<u8").reshape(-1)
+
+
+#: Bytes of each hash that part the hashes inside a route; the sides are kept apart by core as well.
+_KEPT = {"cores": 5, "hashes": 5, "lefts": 3, "rights": 3}
+
+
 def _core_states(blocks: DataFrame, span: int, routes: int) -> DataFrame:
-    """(block, part, data): a state per group of runs: 0 in one document only, 1 shared
-    and everywhere the same run, 2 shared in runs that differ."""
+    """(block, part, data): a state per group of runs: 0 in one document only, _WHOLE shared and
+    everywhere the same run, else _LEFT and _RIGHT where the bytes of that side are shared."""
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, span)
-                route = ((block.cores >> _BITS32) * np.uint64(routes) >> _BITS32).astype(np.int64)
                 # Cores ascend, and so do their routes.
+                route = ((block.cores >> _BITS32) * np.uint64(routes) >> _BITS32).astype(np.int64)
                 out = []
                 for a, b in _stretches(route):
-                    # Six bytes of each hash are enough to part them inside a route.
-                    short = [np.ascontiguousarray(h[a:b]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for h in (block.cores, block.hashes)]
-                    out.append((int(route[a]), row["block"], *short, np.packbits(block.several[a:b]).tobytes()))
-                columns = zip(*out, strict=True) if out else [()] * 5
-                kinds = pa.int32(), pa.int64(), *[pa.binary()] * 3
+                    short = [_packed(getattr(block, name)[a:b], size) for name, size in _KEPT.items()]
+                    several = np.packbits(np.concatenate([flags[a:b] for flags in block.several]))
+                    out.append((int(route[a]), row["block"], *short, several.tobytes()))
+                columns = zip(*out, strict=True) if out else [()] * 7
+                kinds = pa.int32(), pa.int64(), *[pa.binary()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=["part", "block", "cores", "hashes", "several"],
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "block", *_KEPT, "several"]
                 )
 
-    def whole(short: list[bytes]) -> np.ndarray:
-        six = np.frombuffer(b"".join(short), np.uint8).reshape(-1, 6)
-        return np.pad(six, ((0, 0), (0, 2))).view("<u8").reshape(-1)
-
     def meet(table: pa.Table) -> pa.Table:
         parts = table.to_pydict()
-        sizes = [len(c) // 6 for c in parts["cores"]]
-        core, run = whole(parts["cores"]), whole(parts["hashes"])
-        several = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=n) for s, n in zip(parts["several"], sizes, strict=True)])
+        sizes = [len(c) // _KEPT["cores"] for c in parts["cores"]]
+        core, run, left, right = (_unpacked(parts[name], size) for name, size in _KEPT.items())
+        bits = [np.unpackbits(np.frombuffer(s, np.uint8), count=3 * n).reshape(3, n) for s, n in zip(parts["several"], sizes, strict=True)]
+        several = np.concatenate(bits, axis=1).astype(bool)
         block = np.repeat(parts["block"], sizes)
-        order = np.argsort(core, kind="stable")
-        starts = np.flatnonzero(np.concatenate(([True], core[order][1:] != core[order][:-1])))
-        low, high = ([how.reduceat(c[order], starts) for c in (run, block)] for how in (np.minimum, np.maximum))
-        shared = np.maximum.reduceat(several[order], starts).astype(bool) | (low[1] != high[1])
-        state = np.empty(len(core), np.uint8)
-        state[order] = np.repeat(np.where(shared, 1 + (low[0] != high[0]), 0).astype(np.uint8), np.diff([*starts, len(core)]))
+
+        def shared(rows: np.ndarray, flags: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """For each row whether two documents have its key, and whether their runs differ."""
+            order, firsts, number = _numbered(key[rows])
+            pick = rows[order]
+            low, high = ([_by_part(how, c[pick], firsts) for c in (block, run)] for how in (np.minimum, np.maximum))
+            twice = _by_part(np.maximum, flags[pick], firsts) | (low[0] != high[0])
+            return twice[number], (low[1] != high[1])[number]
+
+        twice, differ = shared(np.arange(len(core)), several[0], core)
+        state = np.where(twice & ~differ, _WHOLE, 0).astype(np.uint8)
+        odd = np.flatnonzero(twice & differ)
+        for bit, flags, side in ((_LEFT, several[1], left), (_RIGHT, several[2], right)):
+            state[odd] |= np.where(shared(odd, flags, _mixed(core, side))[0], bit, 0).astype(np.uint8)
         ends = np.cumsum(sizes)
         data = [_squeeze(state[e - n : e].tobytes()) for e, n in zip(ends, sizes, strict=True)]
         return pa.table({"block": table["block"], "part": table["part"], "data": pa.array(data, pa.binary())})
 
-    told = blocks.mapInArrow(tell, "part int, block bigint, cores binary, hashes binary, several binary")
+    names = ", ".join(f"{name} binary" for name in (*_KEPT, "several"))
+    told = blocks.mapInArrow(tell, f"part int, block bigint, {names}")
     return work_table(told.groupBy("part").applyInArrow(meet, "block bigint, part int, data binary"), "repeat-states")
 
 

@@ -39,6 +39,7 @@ def cut(spark, rows, **options):
 def small_blocks(monkeypatch):
     """Many blocks and slices, so that suffixes of one block meet those of others."""
     monkeypatch.setattr(repeats, "BLOCK", 600)
+    monkeypatch.setattr(repeats, "SLICE", 250)
 
 
 def made_rows(seed, alphabet="ab é.", docs=60):
