@@ -5,20 +5,19 @@ smaller ``doc_id`` is removed.
 
 1. Texts are dealt into blocks, written once.  In a block every window of ``span``
    bytes belongs to an anchor: the smallest of its hashed substrings of ``core`` bytes.
-   Neighbouring windows of one anchor are a run.  Equal windows have equal cores, and
-   where two texts agree for long, their runs are equal as a whole.
-2. Only hashes of cores, of the bytes beside them and of runs move, to learn which cores
-   stand in two documents (the others can repeat nothing), and whether their runs differ.
-3. What is left are suffixes: a run that is the same wherever its core stands is one
-   suffix; where runs differ, each window is one that has the half of its bytes to the
-   left or to the right of the core in common with another document.  Equal suffixes
-   of a block are one row.  Splitters sampled from the texts range-partition the suffixes by their
-   leading bytes; a bucket is sorted by :func:`multikey.equal_partitions`, eight bytes
-   a step, and equal suffixes are compared by document.  A suffix that stands among the
-   splitters several times is dealt over as many buckets and compared across them.
-4. Every block gets the numbers of its repeated suffixes back and cuts its documents.
-
-Equality is decided on the bytes; hashes of 128 bits join equal suffixes of one block.
+   Neighbouring windows of one anchor are a run.  Equal windows have equal cores.
+2. Only hashes of cores move, to learn which cores stand in two documents; the others
+   can repeat nothing.
+3. What is left are the suffixes that begin with a shared core, with the bytes before it
+   that its run has.  Splitters sampled from the texts range-partition them by their
+   leading bytes, the core.  A bucket sorts its runs by :func:`multikey.equal_partitions`,
+   eight bytes a step, and compares the documents of equal ones; where runs of one core
+   differ, their windows are sorted as well.  A core that stands among the splitters
+   several times is hot: its windows are dealt one by one over as many buckets, equal
+   ones of a block as one row.
+4. Every block gets its repeated windows back and cuts its documents.
+
+Equality is decided on the bytes; hashes of 128 bits join equal runs of one block.
 
 Nulls and edge cases: a null text is empty.  A document without id is in no order with
 others: nothing is removed from it or because of it.  Rows that share an id do not
@@ -42,13 +41,11 @@ from pyspark.sql import functions as F
 
 from flightlens.llm.common import small_batches, work_table
 from flightlens.llm.multikey import equal_partitions
-from flightlens.operators.lookup import ROWS, KeyCounts, join_lookup
-from flightlens.session import materialise
 
 SPAN = 50
 #: Bytes of a block, and of text per bucket of the two exchanges.
 BLOCK = 2 << 20
-IN_ROUTE, IN_BUCKET = 16 << 20, 24 << 20
+IN_ROUTE, IN_BUCKET = 32 << 20, 24 << 20
 #: Windows that are worked on together: their places fit 16 bits, their arrays a cache.
 SLICE = (1 << 16) - 256
 #: Sampled strings per splitter.
@@ -58,7 +55,13 @@ _ONE, _TWO = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256).astype(np.uint64)
 _SHORT = _BYTES.astype(np.uint32)
 _BITS16, _BITS32 = np.uint32(16), np.uint64(32)
-_WHOLE, _LEFT, _RIGHT = 1, 2, 4
+#: Windows that a bucket sorts together, in groups of one core.
+SORTED = 1 << 19
+
+
+def core_bytes(span: int) -> int:
+    """Bytes of a core: fewer make longer runs but more chance agreement; a run has at most 64 windows."""
+    return max(1, span * 18 // 50, span - 63)
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -159,12 +162,10 @@ def _stretches(values: np.ndarray) -> list[tuple[int, int]]:
 
 
 class Block:
-    """The runs of some documents, and their groups of equal ones in the order of their cores."""
+    """The runs of some documents, their groups of equal ones and their distinct cores."""
 
     def __init__(self, row: dict, span: int) -> None:
-        self.span, self.core = span, max(1, span * 18 // 50)
-        #: Windows that begin so far before their core have all bytes from there to its end in them.
-        self.half = (span - self.core + 1) // 2
+        self.span, self.core = span, core_bytes(span)
         self.text = _expand(row["text"])
         self.data = np.frombuffer(self.text, np.uint8)
         self.sizes = np.array(row["sizes"], np.int64)
@@ -173,34 +174,22 @@ class Block:
         found = [self._runs(low, min(low + SLICE, len(self.data))) for low in range(0, len(self.data), SLICE)]
         empty = [np.zeros(0, np.int64)] * 3
         self.start, self.windows, self.anchor = (np.concatenate(c) for c in zip(empty, *found, strict=True))
+        self.id = self.ids[np.searchsorted(self.ends, self.start, "right")]
+        core = self.anchor, np.full(len(self.anchor), self.core)
         run = self.start, self.windows + span - 1
-        room = len(self.data)
-        beside = np.maximum(self.anchor - self.half, 0)
-        spans = (
-            (self.anchor, np.full(len(self.anchor), self.core)),
-            run,
-            (beside, self.anchor + self.core - beside),
-            (self.anchor, np.minimum(self.anchor + span - self.half + 1, room) - self.anchor),
-        )
-        core, one, left, right = _span_hashes(self.data, _ONE, *spans)
+        hashed, one = _span_hashes(self.data, _ONE, core, run)
         (two,) = _span_hashes(self.data, _TWO, run)
-        self.id = self.ids[np.searchsorted(self.ends, self.start, "right")]
-        rest = _mixed(_mixed(core, one), two)
-        order, firsts, self.group = _numbered((core >> _BITS32 << _BITS32) | (rest >> _BITS32), core, one, two)
-        shown = order[firsts]
-        self.cores, self.hashes, self.lefts, self.rights = (h[shown] for h in (core, one, left, right))
-        self.least = _by_part(np.minimum, self.id[order], firsts)
-        # Whether two documents of the block have the core, and the bytes on a side of it.
-        self.several = [self._in_two(key)[shown] for key in (core, _mixed(core, left), _mixed(core, right))]
-
-    def _in_two(self, key: np.ndarray) -> np.ndarray:
-        order, firsts, number = _numbered(key)
+        order, firsts, number = _numbered(hashed)
+        self.cores = hashed[order][firsts]
         low, high = (_by_part(how, self.id[order], firsts) for how in (np.minimum, np.maximum))
-        return (low != high)[number]
-
-    def left(self) -> np.ndarray:
-        """How many windows of each run begin ``half`` bytes or more before their core."""
-        return np.clip(self.anchor - self.start - self.half + 1, 0, self.windows)
+        #: Whether two documents of the block have the core.
+        self.several = low != high
+        order, firsts, self.group = _numbered(_mixed(_mixed(hashed, one), two), hashed, one, two)
+        self.least = _by_part(np.minimum, self.id[order], firsts)
+        #: A run of each group in its smallest document.
+        order = np.lexsort((self.id, self.group))
+        self.shown = order[np.searchsorted(self.group[order], np.arange(len(firsts)))]
+        self.core_of = number[self.shown]
 
     def _runs(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of the windows that start in a slice: first window, number of windows, place of the core."""
@@ -230,36 +219,73 @@ def _by_part(how: np.ufunc, values: np.ndarray, starts: np.ndarray) -> np.ndarra
 
 
 @dataclass(frozen=True)
-class Suffixes:
-    """What a block has to compare: ``group`` numbers equal ones, ``least`` is the smallest
-    document of a group, ``shown`` one of its suffixes of that document."""
+class Singles:
+    """Windows of hot cores, one by one: ``number`` numbers equal ones, ``least`` is the smallest
+    document of a number, ``shown`` a window of that document."""
 
     start: np.ndarray
-    length: np.ndarray
     id: np.ndarray
-    group: np.ndarray
+    number: np.ndarray
     least: np.ndarray
     shown: np.ndarray
+    hash: np.ndarray
 
 
-def suffixes(block: Block, states: np.ndarray) -> Suffixes:
-    """Of the smallest document of a group of runs: the whole run, or the windows of a side."""
-    state = states[block.group]
-    mine = np.flatnonzero((block.id == block.least[block.group]) & (state > 0))
-    state, windows, left = state[mine], block.windows[mine], block.left()[mine]
-    begin = np.where(state & (_WHOLE | _LEFT), 0, left)
-    end = np.where(state == _WHOLE, 1, np.where(state & _RIGHT, windows, left))
-    parts = np.maximum(end - begin, 0)
-    start = np.repeat(block.start[mine] + begin, parts)
-    start += np.arange(len(start)) - np.repeat(np.cumsum(parts) - parts, parts)
-    length = np.repeat(np.where(state == _WHOLE, windows, 1), parts) + block.span - 1
-    ids = np.repeat(block.id[mine], parts)
+def singles(block: Block, groups: np.ndarray) -> Singles:
+    """The windows of these groups of runs, in the smallest document of each group."""
+    wanted = np.zeros(len(block.least), bool)
+    wanted[groups] = True
+    mine = np.flatnonzero((block.id == block.least[block.group]) & wanted[block.group])
+    parts = block.windows[mine]
+    start = np.repeat(block.start[mine], parts) + np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    ids, length = np.repeat(block.id[mine], parts), np.full(len(start), block.span)
     (one,), (two,) = (_span_hashes(block.data, factor, (start, length)) for factor in (_ONE, _TWO))
-    key = _mixed(one, two)
-    _, _, group = _numbered(key, one, two)
-    order = np.lexsort((ids, group))
-    shown = order[np.searchsorted(group[order], np.arange(group.max(initial=-1) + 1))]
-    return Suffixes(start, length, ids, group, ids[shown], shown)
+    _, firsts, number = _numbered(_mixed(one, two), one, two)
+    order = np.lexsort((ids, number))
+    shown = order[np.searchsorted(number[order], np.arange(len(firsts)))]
+    return Singles(start, ids, number, ids[shown], shown, one[shown])
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Buckets of suffixes by their leading bytes: one per range between the cuts, and as many
+    for a cut itself as it was sampled times, where that is more than once."""
+
+    cuts: np.ndarray
+    copies: np.ndarray
+
+    def place(self, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bucket of every suffix, and the number of buckets that share its leading bytes."""
+        bucket = np.searchsorted(self.cuts, lead, "right")
+        if not len(self.cuts):
+            return bucket, np.ones(len(lead), np.int64)
+        at = np.maximum(bucket - 1, 0)
+        copies = np.where(self.cuts[at] == lead, self.copies[at], 1)
+        later = len(self.cuts) + 1 + np.cumsum(self.copies) - self.copies
+        return np.where(copies > 1, later[at], bucket), copies
+
+
+def candidates(block: Block, shared: np.ndarray, ranges: Ranges) -> tuple[np.ndarray, np.ndarray, np.ndarray, Singles]:
+    """Groups of runs with a shared core that go as a whole, with their buckets, and the
+    windows of hot cores with theirs."""
+    groups = np.flatnonzero(shared[block.core_of]) if len(block.core_of) else np.zeros(0, np.int64)
+    bucket, copies = ranges.place(_strings(block.data, block.anchor[block.shown[groups]], block.core))
+    hot = copies > 1
+    single = singles(block, groups[hot])
+    # A window's bucket among those of its core.
+    base = dict(zip(block.start[block.shown[groups[hot]]].tolist(), zip(bucket[hot].tolist(), copies[hot].tolist(), strict=True), strict=True))
+    run = np.searchsorted(block.start, single.start[single.shown], "right") - 1
+    of_group = block.start[block.shown[block.group[run]]]
+    at = [base[s] for s in of_group.tolist()]
+    dealt = np.array([b + int(h) % c for (b, c), h in zip(at, single.hash.tolist(), strict=True)], np.int64)
+    return groups[~hot], bucket[~hot], dealt, single
+
+
+def _strings(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    if not len(starts):
+        return np.zeros(0, f"S{size}")
+    found = np.lib.stride_tricks.sliding_window_view(data, size)[starts]
+    return np.ascontiguousarray(found).view(f"S{size}").reshape(-1)
 
 
 def _block_table(docs: DataFrame) -> DataFrame:
@@ -290,30 +316,18 @@ def _block_table(docs: DataFrame) -> DataFrame:
 
 
 def _with_replies(blocks: DataFrame, **replies: DataFrame) -> DataFrame:
-    """Each block with its replies: (part, data) pairs, as many as a block has parts."""
+    """Each block with its replies, as many as a block has parts."""
     for name, rows in replies.items():
-        listed = rows.groupBy("block").agg(F.collect_list(F.struct("part", "data")).alias(name))
+        reply = [c for c in rows.columns if c != "block"]
+        listed = rows.groupBy("block").agg(F.collect_list(F.struct(*reply)).alias(name))
         blocks = blocks.join(listed, "block", "left")
     return blocks
 
 
-def _packed(hashes: np.ndarray, size: int) -> bytes:
-    """The lower bytes of each hash."""
-    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
-
-
-def _unpacked(packed: list[bytes], size: int) -> np.ndarray:
-    short = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, size)
-    return np.pad(short, ((0, 0), (0, 8 - size))).view("<u8").reshape(-1)
-
-
-#: Bytes of each hash that part the hashes inside a route; the sides are kept apart by core as well.
-_KEPT = {"cores": 5, "hashes": 5, "lefts": 3, "rights": 3}
-
-
-def _core_states(blocks: DataFrame, span: int, routes: int) -> DataFrame:
-    """(block, part, data): a state per group of runs: 0 in one document only, _WHOLE shared and
-    everywhere the same run, else _LEFT and _RIGHT where the bytes of that side are shared."""
+def _shared_cores(blocks: DataFrame, span: int, routes: int) -> DataFrame:
+    """(block, part, data): a bit per core of a block, set if two documents have the core."""
+    # The lower bytes of a hash, which part the cores of a route.
+    kept = 5
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,150 +337,210 @@ def _core_states(blocks: DataFrame, span: int, routes: int) -> DataFrame:
                 route = ((block.cores >> _BITS32) * np.uint64(routes) >> _BITS32).astype(np.int64)
                 out = []
                 for a, b in _stretches(route):
-                    short = [_packed(getattr(block, name)[a:b], size) for name, size in _KEPT.items()]
-                    several = np.packbits(np.concatenate([flags[a:b] for flags in block.several]))
-                    out.append((int(route[a]), row["block"], *short, several.tobytes()))
-                columns = zip(*out, strict=True) if out else [()] * 7
-                kinds = pa.int32(), pa.int64(), *[pa.binary()] * 5
+                    short = block.cores[a:b].view(np.uint8).reshape(-1, 8)[:, :kept].tobytes()
+                    out.append((int(route[a]), row["block"], short, np.packbits(block.several[a:b]).tobytes()))
+                columns = zip(*out, strict=True) if out else [()] * 4
+                kinds = pa.int32(), pa.int64(), pa.binary(), pa.binary()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "block", *_KEPT, "several"]
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "block", "cores", "several"]
                 )
 
     def meet(table: pa.Table) -> pa.Table:
         parts = table.to_pydict()
-        sizes = [len(c) // _KEPT["cores"] for c in parts["cores"]]
-        core, run, left, right = (_unpacked(parts[name], size) for name, size in _KEPT.items())
-        bits = [np.unpackbits(np.frombuffer(s, np.uint8), count=3 * n).reshape(3, n) for s, n in zip(parts["several"], sizes, strict=True)]
-        several = np.concatenate(bits, axis=1).astype(bool)
+        sizes = [len(c) // kept for c in parts["cores"]]
+        short = np.frombuffer(b"".join(parts["cores"]), np.uint8).reshape(-1, kept)
+        core = np.pad(short, ((0, 0), (0, 8 - kept))).view("<u8").reshape(-1)
+        several = np.concatenate([np.unpackbits(np.frombuffer(s, np.uint8), count=n) for s, n in zip(parts["several"], sizes, strict=True)])
         block = np.repeat(parts["block"], sizes)
-
-        def shared(rows: np.ndarray, flags: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """For each row whether two documents have its key, and whether their runs differ."""
-            order, firsts, number = _numbered(key[rows])
-            pick = rows[order]
-            low, high = ([_by_part(how, c[pick], firsts) for c in (block, run)] for how in (np.minimum, np.maximum))
-            twice = _by_part(np.maximum, flags[pick], firsts) | (low[0] != high[0])
-            return twice[number], (low[1] != high[1])[number]
-
-        twice, differ = shared(np.arange(len(core)), several[0], core)
-        state = np.where(twice & ~differ, _WHOLE, 0).astype(np.uint8)
-        odd = np.flatnonzero(twice & differ)
-        for bit, flags, side in ((_LEFT, several[1], left), (_RIGHT, several[2], right)):
-            state[odd] |= np.where(shared(odd, flags, _mixed(core, side))[0], bit, 0).astype(np.uint8)
+        order, firsts, number = _numbered(core)
+        low, high = (_by_part(how, block[order], firsts) for how in (np.minimum, np.maximum))
+        shared = (_by_part(np.maximum, several[order], firsts).astype(bool) | (low != high))[number]
         ends = np.cumsum(sizes)
-        data = [_squeeze(state[e - n : e].tobytes()) for e, n in zip(ends, sizes, strict=True)]
+        data = [np.packbits(shared[e - n : e]).tobytes() for e, n in zip(ends, sizes, strict=True)]
+        # The number of bits stands in front.
+        data = [n.to_bytes(4, "little") + d for n, d in zip(sizes, data, strict=True)]
         return pa.table({"block": table["block"], "part": table["part"], "data": pa.array(data, pa.binary())})
 
-    names = ", ".join(f"{name} binary" for name in (*_KEPT, "several"))
-    told = blocks.mapInArrow(tell, f"part int, block bigint, {names}")
-    return work_table(told.groupBy("part").applyInArrow(meet, "block bigint, part int, data binary"), "repeat-states")
+    told = blocks.mapInArrow(tell, "part int, block bigint, cores binary, several binary")
+    return work_table(told.groupBy("part").applyInArrow(meet, "block bigint, part int, data binary"), "repeat-cores")
 
 
-def _states(row: dict) -> np.ndarray:
-    parts = sorted(row["states"] or [], key=lambda r: r["part"])
-    return np.frombuffer(b"".join(_expand(r["data"]) for r in parts), np.uint8)
+def _shared(row: dict) -> np.ndarray:
+    parts = sorted(row["cores"] or [], key=lambda r: r["part"])
+    bits = [np.unpackbits(np.frombuffer(r["data"], np.uint8)[4:], count=int.from_bytes(r["data"][:4], "little")) for r in parts]
+    return np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)
 
 
-def _splitters(docs: DataFrame, span: int, buckets: int) -> np.ndarray:
-    """Strings of ``span`` bytes that deal the texts into ranges, from a sample of one place
-    of a share of the documents.  Repeated ones stay."""
+def _ranges(docs: DataFrame, span: int, buckets: int) -> Ranges:
+    """Cuts between suffixes, from the cores of a sample: one window of a share of the documents."""
     wanted = buckets * SAMPLED
     long = docs.where(F.octet_length("text") >= span)
     share = min(1.0, wanted / max(1, long.count()))
     drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
     place = F.pmod(F.xxhash64("id", F.lit("place")), (F.octet_length("text") - span + 1).cast("bigint")) + 1
     picked = long.where(drawn < math.ceil(share * (1 << 20))).select(F.substring("text", place.cast("int"), F.lit(span)).alias("s"))
-    ranked = np.sort(np.array([bytes(r["s"]) for r in picked.limit(4 * wanted).collect()], f"S{span}"))
-    return ranked[:: max(1, len(ranked) // buckets)][1:]
-
-
-def _repeated(blocks: DataFrame, span: int, cuts: np.ndarray) -> DataFrame:
-    """(block, part, data): the groups of suffixes that a smaller document of another block has too."""
-    spark = blocks.sparkSession
-    shared = spark.sparkContext.broadcast(np.unique(cuts, return_counts=True))
+    text = b"".join(bytes(r["s"]) for r in picked.limit(4 * wanted).collect())
+    size = len(text) // span
+    block = Block({"text": _squeeze(text), "sizes": [span] * size, "ids": list(range(size))}, span)
+    ranked = np.sort(_strings(block.data, block.anchor, block.core))
+    cuts, copies = np.unique(ranked[:: max(1, len(ranked) // buckets)][1:], return_counts=True)
+    return Ranges(cuts.astype(f"S{block.core}"), copies)
+
+
+def _rows(letters: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Strings as columns of whole numbers in their order, eight bytes each."""
+    wide = -(-int(length.max()) // 8) * 8
+    room = np.zeros((len(starts), wide), np.uint8)
+    mask = np.arange(wide) < length[:, None]
+    room[mask] = letters[np.repeat(starts - np.cumsum(length) + length, length) + np.arange(length.sum())]
+    return room.view(">u8").T.astype(np.uint64)
+
+
+def _smallest(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every row the smallest id of the rows with its keys, and a row that has it."""
+    smallest, shown = ids.copy(), np.arange(len(ids))
+    for part in equal_partitions(keys, np.ones(len(ids), np.int64), np.full(len(keys), 2)):
+        whole = part.depth == len(keys)
+        if whole.any():
+            items = part.items[np.repeat(whole, part.sizes)]
+            sizes = part.sizes[whole]
+            number = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((ids[items], number))
+            first = items[order[np.cumsum(sizes) - sizes]]
+            smallest[items], shown[items] = ids[first][number], first[number]
+    return smallest, shown
+
+
+def repeated_windows(text: bytes, length: np.ndarray, core: np.ndarray, ids: np.ndarray, span: int) -> np.ndarray:
+    """A mask of the windows of every run that a run of a smaller document has too.
+
+    The runs stand one after the other in ``text``; ``core`` is the place of the core in each.
+    """
+    letters, starts = np.frombuffer(text, np.uint8), np.cumsum(length) - length
+    windows = length - span + 1
+    keys = np.vstack((_rows(letters, starts, length), core.astype(np.uint64), length.astype(np.uint64)))
+    smallest, shown = _smallest(keys, ids)
+    full = (np.uint64(1) << (windows - 1).astype(np.uint64) << np.uint64(1)) - np.uint64(1)
+    mask = np.where(ids > smallest, full, np.uint64(0))
+    # Where the runs of a core differ, one of each is compared window by window.
+    differ = np.flatnonzero(shown == np.arange(len(ids)))
+    size = core_bytes(span)
+    cores = _rows(letters, (starts + core)[differ], np.full(len(differ), size))
+    key = functools.reduce(_mixed, cores)
+    order, firsts, _ = _numbered(key)
+    sizes = np.diff(np.append(firsts, len(order)))
+    several = np.repeat(sizes > 1, sizes)
+    differ, group = differ[order][several], np.repeat(np.arange(len(sizes)), sizes)[several]
+    upto = np.cumsum(windows[differ])
+    begin = 0
+    while begin < len(differ):
+        # Whole groups of about SORTED windows.
+        last = min(len(differ) - 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + SORTED)))
+        end = int(np.searchsorted(group, group[last], "right"))
+        mine = differ[begin:end]
+        row = np.repeat(mine, windows[mine])
+        step = np.arange(len(row)) - np.repeat(np.cumsum(windows[mine]) - windows[mine], windows[mine])
+        found = _rows(letters, starts[row] + step, np.full(len(row), span))
+        least, _ = _smallest(found, ids[row])
+        again = ids[row] > least
+        np.bitwise_or.at(mask, row[again], np.uint64(1) << step[again].astype(np.uint64))
+        begin = end
+    # Other rows of the same run and document have the same windows.
+    return np.where(ids > smallest, mask, mask[shown])
+
+
+def _repeated(blocks: DataFrame, span: int, ranges: Ranges) -> DataFrame:
+    """(block, part, single, data): masks of the windows of groups of runs, or numbers of single
+    windows, that a smaller document of another block has too."""
+    shared = blocks.sparkSession.sparkContext.broadcast(ranges)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, copies = shared.value
-        later = len(cut) + 1 + np.cumsum(copies) - copies
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, span)
-                made = suffixes(block, _states(row))
-                if not len(made.shown):
-                    continue
-                start, length = made.start[made.shown], made.length[made.shown]
-                lead = np.lib.stride_tricks.sliding_window_view(block.data, span)[start]
-                lead = np.ascontiguousarray(lead).view(f"S{span}").reshape(-1)
-                bucket = np.searchsorted(cut, lead, "right")
-                # Strings that are sampled several times are shared out over as many buckets.
-                at = np.maximum(bucket - 1, 0)
-                tied = (copies[at] > 1) & (cut[at] == lead) if len(cut) else np.zeros(len(lead), bool)
-                if tied.any():
-                    bucket = np.where(tied, later[at] + row["block"] % copies[at], bucket)
-                order = np.argsort(bucket, kind="stable")
+                groups, bucket, dealt, single = candidates(block, _shared(row), shared.value)
+                run = block.shown[groups]
+                start, length = block.start[run], block.windows[run] + span - 1
+                every = (
+                    (False, bucket, groups, start, length, block.anchor[run] - start, block.least[groups]),
+                    (True, dealt, np.arange(len(dealt)), single.start[single.shown], *[np.full(len(dealt), span)] * 2, single.least),
+                )
                 out = []
-                for a, b in _stretches(bucket[order]):
-                    mine = order[a:b]
-                    letters = b"".join(block.text[s : s + n] for s, n in zip(start[mine].tolist(), length[mine].tolist(), strict=True))
-                    numbers = [c.tobytes() for c in (mine.astype("<i4"), made.least[mine].astype("<i8"), length[mine].astype("<u2"))]
-                    out.append((int(bucket[mine[0]]), bool(tied[mine[0]]), row["block"], *numbers[:2], _squeeze(numbers[2] + letters)))
-                columns = zip(*out, strict=True)
-                kinds = pa.int32(), pa.bool_(), pa.int64(), *[pa.binary()] * 3
+                for alone, to, numbers, first, size, core, ids in every:
+                    order = np.argsort(to, kind="stable")
+                    for a, b in _stretches(to[order]):
+                        mine = order[a:b]
+                        letters = b"".join(block.text[s : s + n] for s, n in zip(first[mine].tolist(), size[mine].tolist(), strict=True))
+                        short = size[mine].astype("<u2").tobytes() + core[mine].astype("<u2").tobytes()
+                        out.append((int(to[mine[0]]), row["block"], alone, numbers[mine].astype("<i4").tobytes(), ids[mine].astype("<i8").tobytes(), _squeeze(short + letters)))
+                columns = zip(*out, strict=True) if out else [()] * 6
+                kinds = pa.int32(), pa.int64(), pa.bool_(), *[pa.binary()] * 3
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=["part", "tied", "block", "groups", "ids", "letters"],
+                    names=["part", "block", "single", "numbers", "ids", "letters"],
                 )
 
     def sort(table: pa.Table) -> pa.Table:
         parts = table.to_pydict()
-        sizes = [len(g) // 4 for g in parts["groups"]]
-        group = np.frombuffer(b"".join(parts["groups"]), "<i4")
-        least = np.frombuffer(b"".join(parts["ids"]), "<i8")
-        block = np.repeat(parts["block"], sizes)
+        sizes = [len(g) // 4 for g in parts["numbers"]]
+        number = np.frombuffer(b"".join(parts["numbers"]), "<i4")
+        ids = np.frombuffer(b"".join(parts["ids"]), "<i8")
         plain = [_expand(x) for x in parts["letters"]]
-        length = np.concatenate([np.frombuffer(x[: 2 * n], "<u2") for x, n in zip(plain, sizes, strict=True)]).astype(np.int64)
-        letters = b"".join(x[2 * n :] for x, n in zip(plain, sizes, strict=True))
-        columns: dict[str, list] = {"block": [], "part": [], "data": [], "string": [], "least": []}
-
-        def add(where: np.ndarray, strings: list[bytes | None], leasts: list[int | None]) -> None:
-            columns["block"] += block[where].tolist()
-            columns["part"] += [parts["part"][0]] * len(where)
-            columns["string"] += strings
-            columns["least"] += leasts
-
-        if parts["tied"][0]:
-            ends = np.cumsum(length)
-            add(np.arange(len(group)), [letters[e - n : e] for e, n in zip(ends.tolist(), length.tolist(), strict=True)], least.tolist())
-            columns["data"] += [g.tobytes() for g in group]
+        length, core = (
+            np.concatenate([np.frombuffer(x[2 * k * n : 2 * (k + 1) * n], "<u2") for x, n in zip(plain, sizes, strict=True)]).astype(np.int64)
+            for k in (0, 1)
+        )
+        text = b"".join(x[4 * n :] for x, n in zip(plain, sizes, strict=True))
+        if parts["single"][0]:
+            keys = _rows(np.frombuffer(text, np.uint8), np.cumsum(length) - length, length)
+            mask = (ids > _smallest(keys, ids)[0]).astype(np.uint64)
         else:
-            wide = -(-int(length.max()) // 8)
-            room = np.zeros((len(group), 8 * wide), np.uint8)
-            room[np.arange(8 * wide) < length[:, None]] = np.frombuffer(letters, np.uint8)
-            keys = np.vstack((room.view(">u8").T.astype(np.uint64), length.astype(np.uint64)))
-            later = []
-            for part in equal_partitions(keys, np.ones(len(group), np.int64), np.full(len(keys), 2)):
-                same = np.repeat(part.depth == len(keys), part.sizes)
-                if same.any():
-                    smallest = np.repeat(_by_part(np.minimum, least[part.items], part.starts), part.sizes)
-                    later.append(part.items[same & (least[part.items] > smallest)])
-            found = np.concatenate(later) if later else np.zeros(0, np.int64)
-            found = found[np.argsort(block[found], kind="stable")]
-            own = _stretches(block[found])
-            add(found[np.array([a for a, _ in own], np.int64)], [None] * len(own), [None] * len(own))
-            columns["data"] += [group[found[a:b]].tobytes() for a, b in own]
-        kinds = {"block": pa.int64(), "part": pa.int32(), "data": pa.binary(), "string": pa.binary(), "least": pa.int64()}
+            mask = repeated_windows(text, length, core, ids, span)
+        columns: dict[str, list] = {"block": [], "part": [], "single": [], "data": []}
+        ends = np.cumsum(sizes)
+        for i, (end, n) in enumerate(zip(ends.tolist(), sizes, strict=True)):
+            found = np.flatnonzero(mask[end - n : end]) + end - n
+            if len(found):
+                columns["block"].append(parts["block"][i])
+                columns["part"].append(parts["part"][i])
+                columns["single"].append(parts["single"][i])
+                columns["data"].append(_squeeze(number[found].astype("<i4").tobytes() + mask[found].astype("<u8").tobytes()))
+        kinds = {"block": pa.int64(), "part": pa.int32(), "single": pa.bool_(), "data": pa.binary()}
         return pa.table({name: pa.array(values, kinds[name]) for name, values in columns.items()})
 
-    dealt = blocks.mapInArrow(deal, "part int, tied boolean, block bigint, groups binary, ids binary, letters binary")
-    found = dealt.groupBy("part").applyInArrow(sort, "block bigint, part int, data binary, string binary, least bigint")
-    found = work_table(found, "repeat-found")
-    # Across the buckets of one string.
-    edges = found.where(F.col("string").isNotNull())
-    table, size = materialise(edges.groupBy("string").agg(F.count(F.lit(1)).alias(ROWS), F.min("least").alias("_least")))
-    met = join_lookup(edges, table.drop(ROWS), KeyCounts(table.select("string", ROWS), ("string",), size))
-    met = met.where(F.col("least") > F.col("_least"))
-    reply = ["block", "part", "data"]
-    return found.where(F.col("string").isNull()).select(reply).unionByName(met.select(reply))
+    dealt = blocks.mapInArrow(deal, "part int, block bigint, single boolean, numbers binary, ids binary, letters binary")
+    return work_table(dealt.groupBy("part").applyInArrow(sort, "block bigint, part int, single boolean, data binary"), "repeat-found")
+
+
+def _gone(block: Block, row: dict, ranges: Ranges) -> np.ndarray:
+    """A mask of the bytes of a block that go."""
+    masks, again = np.zeros(len(block.least), np.uint64), np.zeros(0, bool)
+    single = None
+    for reply in row["found"] or []:
+        data = _expand(reply["data"])
+        n = len(data) // 12
+        number = np.frombuffer(data[: 4 * n], "<i4")
+        if not reply["single"]:
+            masks[number] = np.frombuffer(data[4 * n :], "<u8")
+            continue
+        if single is None:
+            *_, single = candidates(block, _shared(row), ranges)
+            again = np.zeros(len(single.least), bool)
+        again[number] = True
+    if single is None:
+        *_, single = candidates(block, _shared(row), ranges)
+        again = np.zeros(len(single.least), bool)
+    # What a smaller document of the same block has goes without a reply.
+    whole = np.flatnonzero(block.id > block.least[block.group])
+    part = np.flatnonzero((block.id == block.least[block.group]) & (masks[block.group] > 0))
+    step = np.arange(64, dtype=np.uint64)
+    run, bit = np.nonzero((masks[block.group[part]][:, None] >> step) & np.uint64(1))
+    alone = single.start[(single.id > single.least[single.number]) | again[single.number]] if len(single.number) else single.start
+    begin = np.concatenate((block.start[whole], block.start[part][run] + bit, alone))
+    size = np.concatenate((block.windows[whole] + block.span - 1, np.full(len(run) + len(alone), block.span)))
+    room = len(block.data) + 1
+    depth = np.bincount(begin, minlength=room) - np.bincount(begin + size, minlength=room)
+    return np.cumsum(depth[:-1]) > 0
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, bucket_bytes: int = IN_BUCKET) -> DataFrame:
@@ -479,11 +553,12 @@ def without_repeats(docs: DataFrame, span: int = SPAN, bucket_bytes: int = IN_BU
     small_batches(spark, 128)
     blocks = _block_table(known)
     size = known.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    cuts = _splitters(known, span, max(1, -(-size // bucket_bytes)))
+    ranges = _ranges(known, span, max(1, -(-size // bucket_bytes)))
     # A block is one large row.
     small_batches(spark, 2)
-    states = _core_states(blocks, span, max(1, -(-size // IN_ROUTE)))
-    found = _repeated(_with_replies(blocks, states=states), span, cuts)
+    cores = _shared_cores(blocks, span, max(1, -(-size // IN_ROUTE)))
+    found = _repeated(_with_replies(blocks, cores=cores), span, ranges)
+    shared = spark.sparkContext.broadcast(ranges)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -491,17 +566,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, bucket_bytes: int = IN_BU
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, span)
-                made = suffixes(block, _states(row))
-                again = np.zeros(len(made.least), bool)
-                for reply in row["found"] or []:
-                    again[np.frombuffer(reply["data"], "<i4")] = True
-                whole = block.id > block.least[block.group]
-                single = (made.id > made.least[made.group]) | again[made.group] if len(made.group) else np.zeros(0, bool)
-                begin = np.concatenate((block.start[whole], made.start[single]))
-                end = np.concatenate((block.start[whole] + block.windows[whole] + span - 1, made.start[single] + made.length[single]))
-                room = len(block.data) + 1
-                depth = np.bincount(begin, minlength=room) - np.bincount(end, minlength=room)
-                gone = np.cumsum(depth[:-1]) > 0
+                gone = _gone(block, row, shared.value)
                 out = []
                 for one, n, stop in zip(block.ids.tolist(), block.sizes.tolist(), block.ends.tolist(), strict=True):
                     mask = gone[stop - n : stop]
@@ -511,7 +576,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, bucket_bytes: int = IN_BU
                 yield pa.RecordBatch.from_pylist(out, schema)
 
     stretches = "array<struct<start: bigint, end: bigint>>"
-    made = _with_replies(blocks, states=states, found=found).mapInArrow(
+    made = _with_replies(blocks, cores=cores, found=found).mapInArrow(
         cut, f"id bigint, n_bytes bigint, removed {stretches}, kept binary"
     )
     nameless = plain.where(F.col("id").isNull()).select(
