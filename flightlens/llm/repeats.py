@@ -45,7 +45,7 @@ from flightlens.llm.multikey import equal_partitions
 SPAN = 50
 #: Bytes of a block, and of text per bucket of the two exchanges.
 BLOCK = 2 << 20
-IN_ROUTE, IN_BUCKET = 32 << 20, 24 << 20
+IN_ROUTE, IN_BUCKET = 16 << 20, 8 << 20
 #: Windows that are worked on together: their places fit 16 bits, their arrays a cache.
 SLICE = (1 << 16) - 256
 #: Sampled strings per splitter.
@@ -56,7 +56,7 @@ _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256).astype(np.uint64)
 _SHORT = _BYTES.astype(np.uint32)
 _BITS16, _BITS32 = np.uint32(16), np.uint64(32)
 #: Windows that a bucket sorts together, in groups of one core.
-SORTED = 1 << 19
+SORTED = 1 << 18
 
 
 def core_bytes(span: int) -> int:
