@@ -3,15 +3,19 @@
     ingest   landed payload files -> raw table
     compact  small loads of the raw table -> larger ones
     refresh  raw table -> the three published tables
+    update   new loads of the raw table -> stored monthly states
+    sweep    removes replaced runs, loads and states
 """
 
 from __future__ import annotations
 
 import argparse
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
-from flightlens.plans.refresh import refresh
+from flightlens.plans.refresh import refresh, sweep_runs
+from flightlens.plans.states import States
 from flightlens.session import build_session
+from flightlens.sources.publish import forget_runs
 from flightlens.sources.raw import column_bounds, jdbc_options, partition_options, read_jdbc
 from flightlens.sources.rawstore import SMALL_LOAD, RawStore, read_raw
 from flightlens.streaming.landing import land_payloads
@@ -51,6 +55,20 @@ def _arguments() -> argparse.Namespace:
     renew.add_argument("--out", required=True)
     renew.add_argument("--cutoff", type=_instant)
     renew.add_argument("--dedupe", action="store_true")
+    renew.add_argument("--database", help="also keep the tables under their names in this database")
+
+    sweep = commands.add_parser("sweep")
+    sweep.add_argument("--out", help="folder of published runs")
+    sweep.add_argument("--keep", type=int, default=3, help="finished runs that stay")
+    sweep.add_argument("--raw", help="raw table whose replaced loads go")
+    sweep.add_argument("--states", help="states whose replaced versions go")
+    sweep.add_argument("--database", help="database that forgets the removed runs")
+    sweep.add_argument("--idle-hours", type=float, default=48, help="at rest for so long, a folder has no reader or writer")
+
+    update = commands.add_parser("update")
+    update.add_argument("--raw", required=True)
+    update.add_argument("--states", required=True)
+
     args = parser.parse_args()
     if args.command == "refresh" and args.jdbc_url and args.cutoff is None:
         parser.error("a database needs --cutoff: bounds and rows are one snapshot only with it")
@@ -78,6 +96,25 @@ def main() -> None:
             entry = RawStore(spark, args.raw).compact(args.small)
             print(f"{entry['loaded']} rows of {len(entry['replaces'])} loads joined" if entry else "nothing to join")
             return
+        if args.command == "sweep":
+            idle, gone = timedelta(hours=args.idle_hours), []
+            if args.out:
+                gone += sweep_runs(spark, args.out, args.keep, idle)
+                if args.database:
+                    forget_runs(spark, args.database, gone)
+            if args.raw:
+                gone += RawStore(spark, args.raw).sweep(idle)
+            if args.states:
+                gone += States(spark, args.states).sweep(idle)
+            print(f"{len(gone)} folders removed")
+            return
+        if args.command == "update":
+            store = RawStore(spark, args.raw)
+            # A plain folder has no log: there the time of arrival tells what is new.
+            source = store if store.exists() else read_raw(spark, args.raw)
+            months = States(spark, args.states).update(source)
+            print(f"states renewed: {', '.join(months) or 'none'}")
+            return
         if args.raw:
             raw = read_raw(spark, args.raw, args.cutoff)
         else:
@@ -90,7 +127,7 @@ def main() -> None:
             )
             lower, upper = column_bounds(spark, options)
             raw = read_jdbc(spark, options, partition_options(lower, upper, args.jdbc_partitions))
-        result = refresh(raw, args.out, args.cutoff, args.dedupe)
+        result = refresh(raw, args.out, args.cutoff, args.dedupe, database=args.database)
         for table, rows in result.written.items():
             print(f"{table}: {rows} rows written, {result.quarantined[table]} quarantined")
     finally:

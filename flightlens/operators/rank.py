@@ -173,10 +173,14 @@ def rank_and_compare(
     overall_rank: str,
     names: StatNames,
     scaling: Scaling = SCALING,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
-    """Both ranks and the group statistics on every row: one count, one join."""
+    """Both ranks and the group statistics on every row: one count, one join.
+
+    ``counts`` of the rows by (group, metric) may be at hand already.
+    """
     require_number(df, metric)
-    counts = count_keys(df, [group, metric])
+    counts = counts or count_keys(df, [group, metric])
     if counts.size <= scaling.one_task_rows:
         table = counts.table.coalesce(1)
         ranks = table.select(

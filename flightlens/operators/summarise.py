@@ -66,13 +66,24 @@ def _median_by_map(df: DataFrame, groups: Sequence[str], metric: str, median: st
 
 
 def _median_by_counts(df: DataFrame, groups: Sequence[str], metric: str, median: str) -> DataFrame:
+    counts = df.groupBy(*groups, metric).agg(F.count(F.lit(1)).alias(ROWS))
+    return _middle_of_counts(counts, groups, metric, median)
+
+
+def median_from_counts(counts: DataFrame, groups: Sequence[str], metric: str, median: str) -> DataFrame:
+    """The lower median of every group from its rows per value, NULL where no row has a value.
+
+    Counts of parts of the rows can be added up before, so the median of a whole
+    needs no row of its parts.
+    """
+    middles = _middle_of_counts(counts, groups, metric, median)
+    return null_safe_join(counts.select(*groups).distinct(), middles, groups, "left")
+
+
+def _middle_of_counts(counts: DataFrame, groups: Sequence[str], metric: str, median: str) -> DataFrame:
     """No task sees a whole group: see :func:`ranks_from_counts`."""
-    counts = (
-        df.filter(F.col(metric).isNotNull())
-        .groupBy(*groups, metric)
-        .agg(F.count(F.lit(1)).alias(ROWS))
-    )
-    ranked = ranks_from_counts(counts, groups, metric, "_rank", total="_rows")
+    valued = counts.filter(F.col(metric).isNotNull())
+    ranked = ranks_from_counts(valued, groups, metric, "_rank", total="_rows")
     # Counted from the top, the lower middle stands at rows div 2 + 1.
     middle = F.call_function("div", F.col("_rows"), F.lit(2)) + 1
     return ranked.filter(

@@ -14,10 +14,12 @@ from flightlens.functions import numeric
 from flightlens.operators import quality, summarise
 from flightlens.operators.dedupe import first_reports
 from flightlens.operators.enrich import enrich, fill_geo_altitude, with_position
+from flightlens.operators.lookup import null_safe_join
 from flightlens.operators.rank import group_stats, rank_and_share, rank_overall, rank_within
 from flightlens.plans import refresh as refreshing
 from flightlens.plans.observations import observations, payloads
 from flightlens.plans.reports import COUNTRY_SPEEDS, country_totals, null_to_zero
+from flightlens.plans.states import SKETCH_BITS, States
 from flightlens.schema import (
     ANALYTICS_KEYS,
     ANALYTICS_LAYOUT,
@@ -362,6 +364,37 @@ def incremental_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, path, ANALYTICS_LAYOUT)
 
 
+def _stored_states(spark: SparkSession, sf_dir: str) -> States:
+    """States after two updates, the second with the reports of the second half only."""
+    raw = observations(spark, sf_dir)
+    states = States(spark, scratch_path(spark, "states"))
+    states.update(raw, cutoff=datetime(2024, 1, 16))
+    states.update(raw)
+    return states
+
+
+def incremental_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_states(spark, sf_dir).country_stats()
+
+
+def incremental_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_states(spark, sf_dir).enriched_flights()
+
+
+def merged_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_states(spark, sf_dir).medians()
+
+
+def merged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact numbers of flights, and whether the merged sketches come within four standard errors."""
+    states = _stored_states(spark, sf_dir)
+    exact = states.country_totals().select("origin_country", "unique_flights")
+    near = states.flight_estimates().withColumnRenamed("unique_flights", "_near")
+    off = F.abs(F.col("_near") - F.col("unique_flights")) / F.col("unique_flights")
+    joined = null_safe_join(exact, near, ["origin_country"])
+    return joined.withColumn("sketch_is_near", off <= 4 * 1.04 / 2 ** (SKETCH_BITS / 2)).drop("_near")
+
+
 def _refreshed(dedupe: bool, cutoffs: tuple[datetime | None, ...]) -> Query:
     """The row-level table after full refreshes with these cutoffs, the last one counting."""
 
@@ -377,6 +410,14 @@ def _refreshed(dedupe: bool, cutoffs: tuple[datetime | None, ...]) -> Query:
     return run
 
 
+def created_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country table by its name in a database, after a refresh has made and filled it."""
+    out = scratch_path(spark, "database")
+    name = f"flights_{out.rpartition('-')[2]}"
+    refreshing.refresh(observations(spark, sf_dir), out, database=name)
+    return spark.table(f"{name}.country_stats")
+
+
 def quarantine_after_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports set aside by a full refresh still are after a month was renewed."""
     raw = observations(spark, sf_dir)
@@ -456,8 +497,13 @@ _PLAIN: dict[str, Query] = {
     "published_analytics": _published("flights_analytics"),
     "month_partitions": month_partitions,
     "incremental_analytics": incremental_analytics,
+    "incremental_country": incremental_country,
+    "incremental_ranks": incremental_ranks,
+    "merged_median": merged_median,
+    "merged_distinct": merged_distinct,
     "refresh_earlier_cutoff": _refreshed(False, (None, datetime(2024, 1, 16))),
     "refresh_deduped": _refreshed(True, (None,)),
+    "created_tables": created_tables,
     "quarantine_after_months": quarantine_after_months,
     "rank_by_altitude": rank_by_altitude,
 }

@@ -305,6 +305,16 @@ _SQL = {
         FROM analytics WHERE event_date IS NOT NULL""",
 }
 
+_SQL["created_tables"] = _SQL["country_stats"]
+# Stored states: the same reports as from all rows at once.
+_SQL |= {
+    "incremental_country": _SQL["country_stats"],
+    "incremental_ranks": _SQL["enriched_flights"],
+    "merged_median": _SQL["agg_median"],
+    "merged_distinct": f"""WITH {_BASE} SELECT origin_country,
+        CAST(count(DISTINCT callsign) AS BIGINT) AS unique_flights, true AS sketch_is_near
+        FROM base GROUP BY origin_country""",
+}
 # One stream, two ways to count: the log of the raw table and the records themselves.
 _SQL["stream_totals"] = _SQL["ingest_totals"]
 _EARLY = _RANKED.replace("FROM numbered WHERE", "FROM numbered WHERE fetch_time <= TIMESTAMP '2024-01-16' AND")

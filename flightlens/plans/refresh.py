@@ -21,15 +21,18 @@ from flightlens.operators import quality
 from flightlens.operators.dedupe import first_reports
 from flightlens.operators.enrich import enrich
 from flightlens.plans import reports
-from flightlens.schema import ANALYTICS_LAYOUT, COUNTRY_LAYOUT, ENRICHED_LAYOUT, SLIM_LAYOUT, Layout
+from flightlens.schema import ANALYTICS_LAYOUT, COUNTRY_LAYOUT, ENRICHED_LAYOUT, LAYOUTS, SLIM_LAYOUT, Layout
 from flightlens.session import materialise
 from flightlens.settings import RULES, SCALING, Rules, Scaling
-from flightlens.sources.publish import publish_parquet, read_published
+from flightlens.sources import folders
+from flightlens.sources.publish import MONTH, create_views, publish_parquet, read_published, switch_views
 from flightlens.sources.raw import instant, snapshot
 from flightlens.sources.rawstore import EventRange, RawStore, within
 
 
 MOST_RANGES = 240
+#: The month that rows without a date are set aside under.
+UNDATED = "undated"
 
 
 @dataclass(frozen=True)
@@ -77,6 +80,23 @@ def published_root(spark: SparkSession, out: str) -> str | None:
     return f"{out}/{newest['run']}" if newest else None
 
 
+def sweep_runs(spark: SparkSession, out: str, keep: int, idle: timedelta, now: datetime | None = None) -> list[str]:
+    """Remove all but the newest ``keep`` finished runs, and runs that died, once at rest for ``idle``.
+
+    A running refresh has no entry yet, but it writes; the newest run always stays.
+    """
+    out = out.rstrip("/")
+    try:
+        log = spark.read.schema(LOG).parquet(f"{out}/refresh_log")
+    except AnalysisException:  # no run has finished yet
+        kept = set()
+    else:
+        runs = log.groupBy("run").agg(F.max("finished").alias("finished"))
+        newest = runs.orderBy(F.desc("finished"), F.desc("run")).limit(max(1, keep))
+        kept = {r["run"] for r in newest.collect()}
+    return folders.sweep(spark, out, "run-", kept, idle, now)
+
+
 def published_path(spark: SparkSession, out: str, table: str) -> str:
     """Where a table of the newest finished run lies."""
     root = published_root(spark, out)
@@ -92,6 +112,7 @@ def refresh(
     dedupe: bool = False,
     rules: Rules = RULES,
     scaling: Scaling = SCALING,
+    database: str | None = None,
 ) -> Published:
     """Recompute and publish all tables from the reports up to ``cutoff``.
 
@@ -99,9 +120,14 @@ def refresh(
     database in one state), repeats are removed once, and every table is built
     on the same rows.  Whatever cutoff an earlier run had, the tables hold the
     rows of this one only.  Any failure leaves as an exception.
+
+    With a ``database`` the tables are there under their names before anything is loaded,
+    as views; they turn to the new run last of all.
     """
     out = out.rstrip("/")
     spark = raw.sparkSession
+    if database:
+        create_views(spark, LAYOUTS, database)
     root = f"{out}/run-{uuid.uuid4().hex}"
     kept = snapshot(raw, cutoff)
     base, _ = materialise(enrich(first_reports(kept) if dedupe else kept, rules))
@@ -126,6 +152,8 @@ def refresh(
         written[layout.name], aside[layout.name] = _publish_summary(summary, root, layout)
 
     _log(spark, out, root.rpartition("/")[2], cutoff, written, aside)
+    if database:
+        switch_views(spark, LAYOUTS, database, root)
     return Published(written, aside)
 
 
@@ -214,22 +242,33 @@ def _publish_summary(
 
 
 def _set_aside(rows: DataFrame, root: str, layout: Layout, months: DataFrame | None = None) -> int:
-    """Write the rejected rows; with ``months`` those of other months stay."""
+    """Write the rejected rows; with ``months`` those of other months stay.
+
+    They lie by month, rows without a date in a month of their own, and a month is replaced
+    when the job commits: one that dies leaves the rows that were there.
+    """
     path = f"{root}/quarantine/{layout.name}"
-    spark = rows.sparkSession
     fresh, count = materialise(rows)
-    if months is not None:
-        try:
-            before = spark.read.schema(fresh.schema).parquet(path)
-        except AnalysisException:  # nothing was set aside so far
-            before = fresh.limit(0)
-        before = before.withColumn("_month", event_month(F.col("event_date")))
-        others = before.join(F.broadcast(months.select(F.col("month").alias("_month"))), "_month", "left_anti").drop("_month")
-        fresh, _ = materialise(others.unionByName(fresh))
-    fresh.write.mode("overwrite").parquet(path)
+    if layout.by_month:
+        fresh = fresh.withColumn(MONTH, F.coalesce(event_month(F.col("event_date")), F.lit(UNDATED)))
+        writer = fresh.write.mode("overwrite").partitionBy(MONTH)
+        if months is not None:
+            _clear_months(rows.sparkSession, path, fresh, months)
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+    else:
+        fresh.write.mode("overwrite").parquet(path)
     return count
 
 
+def _clear_months(spark: SparkSession, path: str, fresh: DataFrame, months: DataFrame) -> None:
+    """Remove the set-aside rows of renewed months that have none any more."""
+    renewed = {f"{MONTH}={r['month']}" for r in months.select("month").collect()}
+    still = {f"{MONTH}={r[MONTH]}" for r in fresh.select(MONTH).distinct().collect()}
+    for name in set(folders.children(spark, path)) & (renewed - still):
+        folders.remove(spark, f"{path}/{name}")
+
+
 def _log(
     spark: SparkSession,
     out: str,

@@ -90,7 +90,11 @@ def country_stats(
     enriched: DataFrame, approximate_distinct: bool = False, scaling: Scaling = SCALING
 ) -> DataFrame:
     """Counts, mean speed, rank and share per country, largest first."""
-    totals, countries = materialise(country_totals(enriched, approximate_distinct))
+    return ranked_countries(*materialise(country_totals(enriched, approximate_distinct)), scaling)
+
+
+def ranked_countries(totals: DataFrame, countries: int, scaling: Scaling = SCALING) -> DataFrame:
+    """The published country table from written totals, one row for each of the ``countries``."""
     ranked = rank_and_share(
         totals, countries, "total_aircraft", "global_rank", "percentage_of_total", scaling
     )

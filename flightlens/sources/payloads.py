@@ -49,11 +49,12 @@ def readable(text: Column) -> Column:
     """Bare NaN and Infinity, which some writers emit as numbers, as the texts of numbers.
 
     Only where such a word stands between a separator and another one outside of
-    a quoted text; everything else is left as it is.
+    a quoted text; everything else is left as it is.  So is a text with the characters
+    that mark such words meanwhile: JSON does not allow them, and it stays malformed.
     """
     bare = r'("(?:[^"\\]|\\.)*+")|(?<![\w"])(-?Infinity|NaN)(?![\w"])'
     odd = F.contains(text, F.lit("NaN")) | F.contains(text, F.lit("Infinity"))
-    return F.when(odd, _quoted(text, bare)).otherwise(text)
+    return F.when(odd & ~text.rlike("[\u0001\u0002]"), _quoted(text, bare)).otherwise(text)
 
 
 def _quoted(text: Column, bare: str) -> Column:
@@ -112,7 +113,8 @@ def type_states(
     A field that is absent, null or unreadable becomes NULL.  A record is
     rejected only when the raw table could not take it.
     """
-    listed = records.withColumn("_fields", F.try_variant_get("state", "$", "array<variant>"))
+    # Every element is read once, into its kind and text.
+    listed = records.withColumn("_fields", F.transform(F.try_variant_get("state", "$", "array<variant>"), coerce.parts))
     elements = {name: F.get("_fields", F.lit(i)) for name, i in positions.items()}
 
     typed: dict[str, Column] = {}

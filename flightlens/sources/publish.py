@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +103,38 @@ def create_published_tables(
         create_table(spark, f"{database}.{layout.name}", layout.schema, layout.by_month, path)
 
 
+def create_views(spark: SparkSession, layouts: Mapping[str, Layout], database: str) -> None:
+    """An empty view of the right columns for every table that the database does not have."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for layout in layouts.values():
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in layout.schema)
+        month = f", CAST(NULL AS string) AS {MONTH}" if layout.by_month else ""
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {database}.{layout.name} AS SELECT {columns}{month} WHERE false")
+
+
+def switch_views(spark: SparkSession, layouts: Mapping[str, Layout], database: str, root: str) -> None:
+    """Turn the views to the tables below ``root``, after all of these are known to the catalog.
+
+    A table of an earlier run stays for the readers at work; :func:`forget_runs` drops it.
+    """
+    run = root.rstrip("/").rpartition("/")[2].replace("-", "_")
+    for layout in layouts.values():
+        table = f"{database}.{layout.name}__{run}"
+        create_table(spark, table, layout.schema, layout.by_month, f"{root}/{layout.name}")
+        if layout.by_month:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    for layout in layouts.values():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{layout.name} AS SELECT * FROM {database}.{layout.name}__{run}")
+
+
+def forget_runs(spark: SparkSession, database: str, runs: Sequence[str]) -> None:
+    """Drop the catalog's tables of runs whose folders were removed; the views are not touched."""
+    gone = {run.replace("-", "_") for run in runs}
+    for row in spark.sql(f"SHOW TABLES IN {database}").collect():
+        if row["tableName"].rpartition("__")[2] in gone:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{row['tableName']}")
+
+
 def read_published(
     spark: SparkSession,
     path: str,

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 from operator import or_
 
@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from flightlens.operators.quality import observed_values
 from flightlens.schema import RAW_FLIGHTS
-from flightlens.sources.raw import instant
+from flightlens.sources import folders
+from flightlens.sources.raw import instant, read_parquet, snapshot
 
 DAY = "fetch_day"
 STORED = T.StructType([*RAW_FLIGHTS, T.StructField(DAY, T.DateType())])
@@ -40,10 +41,11 @@ SMALL_LOAD = 5_000_000
 EventRange = tuple[int, int]
 
 
-def within(ranges: Sequence[EventRange]) -> Column:
-    """``time_position`` in one of the ranges [begin, end)."""
+def within(ranges: Sequence[EventRange], undated: bool = False) -> Column:
+    """``time_position`` in one of the ranges [begin, end), or missing where ``undated`` are wanted."""
     position = F.col("time_position")
-    return reduce(or_, [(position >= begin) & (position < end) for begin, end in ranges], F.lit(False))
+    missing = [position.isNull()] if undated else []
+    return reduce(or_, [*missing, *[(position >= begin) & (position < end) for begin, end in ranges]], F.lit(False))
 
 
 def _utc(moment: datetime) -> datetime:
@@ -81,8 +83,10 @@ class RawStore:
         cutoff: datetime | None = None,
         events: Sequence[EventRange] | None = None,
         names: Sequence[str] | None = None,
+        undated: bool = False,
     ) -> DataFrame:
-        """Raw reports: all, those that had arrived by ``cutoff``, those of event times, or those of some loads."""
+        """Raw reports: all, those that had arrived by ``cutoff``, those of event times (and
+        ``undated`` ones with them), or those of some loads."""
 
         def matters(entry: Row) -> bool:
             if names is not None and entry["load"] not in names:
@@ -91,6 +95,8 @@ class RawStore:
                 return False
             if events is None:
                 return True
+            if undated and entry["undated"]:
+                return True
             return any(entry["event_from"] is not None and entry["event_from"] < b and entry["event_to"] >= a for a, b in events)
 
         # Loads named by a caller may have been replaced since: their files are still there.
@@ -102,7 +108,7 @@ class RawStore:
         if cutoff is not None:
             rows = rows.filter((F.col(DAY) <= F.lit(_utc(cutoff).date())) & (F.col("fetch_time") <= instant(cutoff)))
         if events is not None:
-            rows = rows.filter(within(events))
+            rows = rows.filter(within(events, undated))
         return rows.select(*RAW_FLIGHTS.names)
 
     def add(
@@ -153,6 +159,12 @@ class RawStore:
         counts = {c: sum(e[c] for e in few) for c in ("rejected", "unreadable")}
         return self.add(self.read(names=names), f"compact-{uuid.uuid4().hex}", replaces=names, **counts)
 
+    def sweep(self, idle: timedelta, now: datetime | None = None) -> list[str]:
+        """Remove the files of loads that compaction replaced, and of those that died, once
+        they are at rest for ``idle``: longer than any reader or load takes."""
+        kept = {f"load={e['load']}" for e in self.loads()}
+        return folders.sweep(self.spark, self.path, "load=", kept, idle, now)
+
 
 def _moment(micros: int | None) -> datetime | None:
     return None if micros is None else datetime.fromtimestamp(micros / 1_000_000, UTC)
@@ -160,7 +172,5 @@ def _moment(micros: int | None) -> datetime | None:
 
 def read_raw(spark: SparkSession, path: str, cutoff: datetime | None = None) -> DataFrame:
     """Raw reports of a store, or of a plain Parquet folder where there is no log."""
-    from flightlens.sources.raw import read_parquet, snapshot
-
     store = RawStore(spark, path)
     return store.read(cutoff) if store.exists() else snapshot(read_parquet(spark, path), cutoff)

@@ -61,12 +61,17 @@ COERCIONS = [
     ('"+7"', 7, 7.0, False),
     ('".5"', None, 0.5, False),
     ('""', None, None, False),
+    ("0.99999999999", 0, 0.99999999999, True),
+    ("-0.5", 0, -0.5, True),
+    ("9007199254740993", 9007199254740993, 9007199254740993.0, True),
+    ("12345678901234567.9", 12345678901234567, 12345678901234567.9, True),
+    ("1e30", None, 1e30, True),
 ]
 
 
 def test_coercion_table(spark):
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(COERCIONS)], "i int, text string")
-    element = F.parse_json("text")
+    element = coerce.parts(F.parse_json("text"))
     rows = df.select(
         "i",
         coerce.to_long(element).alias("whole"),
@@ -87,7 +92,7 @@ def test_text_and_flag(spark):
     df = spark.createDataFrame(
         [("true",), ("12",), ('" off "',), ('"maybe"',), ("null",), ("0",), ("2",)], "text string"
     )
-    element = F.parse_json("text")
+    element = coerce.parts(F.parse_json("text"))
     rows = df.select(coerce.to_text(element), coerce.to_flag(element))
     assert [tuple(r) for r in rows.collect()] == [
         ("True", True),
@@ -207,3 +212,16 @@ def test_nothing_vanishes(spark):
         assert len(rejects) == 2 + 1501 - loaded
     got = accepted_rows(raw_from_payloads(payloads.filter("payload_id = 3"), datetime(2024, 1, 1))).first()
     assert got.callsign == "NaN, Infinity" and got.longitude != got.longitude and got.latitude == float("-inf")
+
+
+def test_an_element_is_read_once(spark):
+    """Its kind and its text; the others are reads of the list, and of the payload before it is exploded."""
+    plan = load(spark, GOOD)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schemaOfVariant") == 1 and plan.count("try_variant_get(lambda") == 1
+    assert plan.count("try_variant_get") <= 5
+
+
+def test_marks_of_bare_words_are_refused(spark):
+    text = '{"states": [["abc\x01", "\x02", NaN]]}'
+    rows = raw_from_payloads(spark.createDataFrame([(text,)], "value string"), LOADED)
+    assert rejected_rows(rows).first()["record"] == text

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,7 +11,7 @@ from flightlens.operators import quality
 from flightlens.operators.dedupe import first_reports
 from flightlens.operators.enrich import enrich
 from flightlens.plans import refresh as refreshing
-from flightlens.plans.refresh import published_path, quarantined_reports, refresh, refresh_months
+from flightlens.plans.refresh import published_path, quarantined_reports, refresh, refresh_months, sweep_runs
 from flightlens.schema import (
     ANALYTICS_LAYOUT,
     COUNTRY_LAYOUT,
@@ -282,3 +282,57 @@ def test_database_options():
 def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_sweep_keeps_the_newest_runs_and_running_ones(spark, year, tmp_path):
+    out = str(tmp_path)
+    runs = []
+    for _ in range(3):
+        refresh(year, out)
+        runs.append(refreshing.published_root(spark, out).rpartition("/")[2])
+    # A run at work has written something, and no entry.
+    spark.range(1).write.parquet(f"{out}/run-working/part")
+    later = datetime.now(UTC) + timedelta(days=2)
+    assert sweep_runs(spark, out, keep=2, idle=timedelta(days=1)) == []
+    assert sweep_runs(spark, out, keep=2, idle=timedelta(days=3), now=later) == []
+    gone = sweep_runs(spark, out, keep=2, idle=timedelta(days=1), now=later)
+    assert sorted(gone) == sorted([runs[0], "run-working"])
+    assert rows_of(spark.read.parquet(published_path(spark, out, "country_stats")))
+    assert {p.name for p in tmp_path.glob("run-*")} == set(runs[1:])
+    # The newest run stays, whatever is asked for.
+    assert sweep_runs(spark, out, keep=0, idle=timedelta(0), now=later) == [runs[1]]
+    assert sweep_runs(spark, str(tmp_path / "none"), 1, timedelta(0)) == []
+
+
+def test_quarantine_lies_by_month(spark, year, tmp_path):
+    out = str(tmp_path)
+    refresh(year, out)
+    path = published_path(spark, out, "quarantine/flights_analytics")
+    assert {p.name for p in Path(path).glob("event_month=*")} == {"event_month=undated"}
+
+
+def test_tables_are_there_before_and_after_a_load(spark, year, tmp_path, monkeypatch):
+    out, base = str(tmp_path), "flights_test"
+    publish.create_views(spark, LAYOUTS, base)
+    assert spark.table(f"{base}.country_stats").count() == 0
+    assert spark.table(f"{base}.enriched_flights").columns == [*ENRICHED_LAYOUT.schema.names, "event_month"]
+    refresh(year, out, datetime(2024, 2, 1), database=base)
+    before = {n: rows_of(spark.table(f"{base}.{n}")) for n in LAYOUTS}
+    assert all(before.values())
+
+    def fails(*_, **__):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as broken:
+        # Three tables of the new run are in place when it dies.
+        broken.setattr(refreshing, "_log", fails)
+        with pytest.raises(OSError):
+            refresh(year, out, database=base)
+    assert {n: rows_of(spark.table(f"{base}.{n}")) for n in LAYOUTS} == before
+    old = refreshing.published_root(spark, out).rpartition("/")[2]
+    refresh(year, out, database=base)
+    assert rows_of(spark.table(f"{base}.country_stats")) == rows_of(plans.country_stats(enrich(year)))
+    publish.forget_runs(spark, base, [old])
+    assert spark.table(f"{base}.country_stats").count() == 2
+    assert not any(old.replace("-", "_") in r["tableName"] for r in spark.sql(f"SHOW TABLES IN {base}").collect())
+    spark.sql(f"DROP DATABASE {base} CASCADE")

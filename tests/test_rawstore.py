@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -97,3 +97,13 @@ def test_empty_loads(spark, reports, tmp_path):
 def test_refresh_reads_a_store(spark, store, tmp_path):
     done = refresh(read_raw(spark, store.path), f"{tmp_path}/out")
     assert done.written["enriched_flights"] == 40 and done.quarantined["enriched_flights"] == 4
+
+
+def test_sweep_removes_what_no_reader_needs(store, reports):
+    reports({}).withColumn("fetch_day", F.lit("2024-01-01")).write.partitionBy("fetch_day").parquet(f"{store.path}/load=dead")
+    entry, before = store.compact(), rows_of(store.read())
+    later = datetime.now(UTC) + timedelta(days=2)
+    assert store.sweep(timedelta(days=1)) == []
+    assert sorted(store.sweep(timedelta(days=1), later)) == sorted([*(f"load=day-{i}" for i in range(4)), "load=dead"])
+    assert rows_of(store.read()) == before
+    assert {p.name for p in Path(store.path).glob("load=*")} == {f"load={entry['load']}"}
