@@ -189,7 +189,8 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, window: int = WINDOW, s
         return pd.DataFrame(found, columns=["one", "two"])
 
     shards = max(1, -(-rest.count() // shard_rows))
-    keyed = rest.withColumn("_key", telling("ids16"))
+    # Written once: dealing by range reads its keys twice, for the ranges and for the rows.
+    keyed = work_table(rest.withColumn("_key", telling("ids16")), "packing-keys")
     order = [F.col("_key.one"), F.col("_key.two"), F.col("row")]
     dealt = keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order)
 
