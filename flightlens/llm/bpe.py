@@ -190,18 +190,22 @@ def _tokens_back_to(ids: list[int], lengths: list[int], size: int) -> int | None
 
 def append_chunk(
     codec: Codec, text: bytes, ids: list[int], start: int, end: int, more: list[int]
-) -> list[int]:
-    """The ids of text[:end] from those of text[:start] and of text[start:end].
+) -> None:
+    """Turn the ids of text[:start] into those of text[:end], with those of text[start:end].
 
     The window around the join grows on either side until its first and last
-    bytes are token ends of what is known.
+    bytes are token ends of what is known.  Only the ids from the window on are
+    touched, so a text takes time in proportion to its length.
     """
     left, right = _boundary_before(text, start), _boundary_after(text, start, end)
     while True:
         keep = _tokens_back_to(ids, codec.lengths, start - left)
         skip = _tokens_up_to(more, codec.lengths, right - start)
         if keep is not None and skip is not None:
-            return ids[:keep] + codec.encode(text[left:right]) + more[skip:]
+            del ids[keep:]
+            ids.extend(codec.encode(text[left:right]))
+            ids.extend(more[skip:])
+            return
         if keep is None:
             left = _boundary_before(text, left)
         if skip is None:
@@ -222,7 +226,10 @@ def encode_from_chunks(codec: Codec, text: bytes, known: dict[bytes, list[int]])
     out: list[int] = []
     for start, end, ids in parts:
         ids = codec.encode(text[start:end]) if ids is None else ids
-        out = append_chunk(codec, text, out, start, end, ids) if start else list(ids)
+        if start:
+            append_chunk(codec, text, out, start, end, ids)
+        else:
+            out = list(ids)
     return out
 
 
