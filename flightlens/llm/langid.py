@@ -40,6 +40,11 @@ _AT_ONCE = 2_048
 Weights = dict[str, np.ndarray]
 
 
+def has_letters(text: str) -> bool:
+    """Whether there is a letter: superscripts, fractions and circled digits are none."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def new_weights(languages: int, hidden: int = HIDDEN, seed: int = 11) -> Weights:
     """``inputs``: per direction and byte the input to update, reset and candidate; ``state``:
     the recurrent matrix; ``out``, ``bias``: from both states to languages."""
@@ -211,7 +216,7 @@ class Identifier:
 
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
         """(language, its probability) per text."""
-        has_letter = [bool(t and _LETTER.search(t.decode("utf-8", "replace"))) for t in texts]
+        has_letter = [bool(t) and has_letters(t.decode("utf-8", "replace")) for t in texts]
         pooled = self.document_scores([t if ok else b"" for t, ok in zip(texts, has_letter, strict=True)])
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))

@@ -366,10 +366,12 @@ def representatives(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     )
     kept = kept.groupBy("component_fp").agg(F.min(F.struct("_kept_id", "_kept_fp")).alias("_kept"))
     kept = kept.select("_kept.*")
-    own = docs.withColumn("_own_fp", fingerprint_column(F.col("text"), shingle))
-    same = own["doc_id"].eqNullSafe(kept["_kept_id"]) & (own["_own_fp"] == kept["_kept_fp"])
+    # A name that no column of the documents has.
+    fp = "_" * (1 + max((len(c) for c in docs.columns), default=0)) + "fp"
+    own = docs.withColumn(fp, fingerprint_column(F.col("text"), shingle))
+    same = own["doc_id"].eqNullSafe(kept["_kept_id"]) & (own[fp] == kept["_kept_fp"])
     chosen = own.join(kept, same, "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_own_fp"]).select(*docs.columns)
+    return chosen.dropDuplicates(["doc_id", fp]).select(*docs.columns)
 
 
 def hex_digits(fp: Column) -> Column:

@@ -107,8 +107,12 @@ def sentences(text: bytes | None) -> list[bytes]:
     return [s for s in (text or b"").translate(_TABLE).split(b"\n") if s.strip()] or [b""]
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 200, rate: float = 0.2, decay: float = 2e-5) -> Model:
-    """Maximum likelihood of the document labels under noisy-or, by Adam over the sample."""
+def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 200, rate: float = 0.2, prior: float = 0.16) -> Model:
+    """Most likely weights of the document labels under noisy-or, by Adam over the sample.
+
+    ``prior`` is the precision that all weights have before any document is seen, so
+    it weighs less the more documents there are.
+    """
     share = float(np.mean(toxic)) if len(toxic) else 0.0
     if share in (0.0, 1.0):
         return Model(float(np.log((share + 1e-9) / (1 - share + 1e-9))), {})
@@ -119,6 +123,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 200, rate: float = 0
         for words in split:
             owner.append(len(words))
             hashes.extend(words)
+    decay = prior / len(texts)
     sentence = np.repeat(np.arange(len(owner)), owner)
     document = np.repeat(np.arange(len(texts)), lengths)
     words, place = np.unique(np.frombuffer(hashes, np.uint32), return_inverse=True)

@@ -176,6 +176,7 @@ def test_language_positions_and_edges(spark, edges):
     assert spans[0][0] == 0 and spans[-1][1] == 512 and {s[2] for s in spans} == {"x", "y"}
     assert sum(b - a for a, b, l in spans if (l == "x") == (a < 256)) > 480
     found = {r["t"]: r["f"] for r in edges.select(F.col("text").alias("t"), langid.language_column(F.col("text"), model).alias("f")).collect()}
+    assert [langid.has_letters(t) for t in ("²", "½ ①", "_1", "é", "日", "x²")] == [False, False, False, True, True, True]
     for text in (None, "", " \n1 2"):
         assert found[text]["lang_pred"] == "und" and found[text]["score"] == 0
     assert found["text"]["lang_pred"] in ("x", "y")

@@ -111,3 +111,9 @@ def test_edge_cases(spark):
     assert len(simhash.representatives(docs).collect()) == 4
     empty = docs.limit(0)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.representatives(empty).count() == 0
+
+
+def test_a_clashing_column_stays(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "x"), (2, "a b c d", "y")], "doc_id bigint, text string, _own_fp string")
+    kept = simhash.representatives(docs)
+    assert [tuple(r) for r in kept.collect()] == [(1, "a b c d", "x")] and kept.columns == docs.columns
