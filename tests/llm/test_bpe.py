@@ -118,7 +118,7 @@ def test_time_is_in_proportion_to_the_text():
 def test_a_long_text_that_occurs_twice(spark):
     rng = np.random.default_rng(9)
     words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(4000)]
-    long = " ".join(rng.choice(words, 800_000))
+    long = " ".join(rng.choice(words, 900_000))
     assert len(long) > 5_000_000
     docs = spark.createDataFrame([(1, long), (2, long), (3, "short")], "doc_id bigint, text string")
     rows = {r["doc_id"]: bytes(r["ids"]) for r in bpe.encode(docs, *bpe.public_vocabulary()).collect()}
