@@ -39,6 +39,8 @@ def _arguments() -> argparse.Namespace:
     ingest.add_argument("--cap", type=int, help="records loaded of each payload; the rest is rejected (default: all)")
     ingest.add_argument("--dedupe", metavar="TIME", help="leave out reports that landed within this time before, such as '2 days'")
 
+    ingest.add_argument("--database", help="also keep the raw table under its name in this database")
+
     compact = commands.add_parser("compact")
     compact.add_argument("--raw", required=True)
     compact.add_argument("--small", type=int, default=SMALL_LOAD, help="rows below which a load is joined with others")
@@ -90,7 +92,11 @@ def main() -> None:
                 cap=args.cap,
                 dedupe=args.dedupe,
             )
+            if args.database:
+                landing.store.create_view(args.database)
             print(landing.wait())
+            if args.database:
+                landing.store.create_view(args.database)
             return
         if args.command == "compact":
             entry = RawStore(spark, args.raw).compact(args.small)
@@ -130,6 +136,9 @@ def main() -> None:
         result = refresh(raw, args.out, args.cutoff, args.dedupe, database=args.database)
         for table, rows in result.written.items():
             print(f"{table}: {rows} rows written, {result.quarantined[table]} quarantined")
+        for column, values in result.left_out.items():
+            if values:
+                print(f"{column}: {values} values left out of the means")
     finally:
         spark.stop()
 

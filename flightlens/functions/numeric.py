@@ -23,6 +23,11 @@ def summable(value: Column) -> Column:
     return value.try_cast("decimal(18,6)")
 
 
+def left_out(value: Column) -> Column:
+    """Whether a value is present but no summable number: NaN, infinite, or 10^12 and more."""
+    return value.isNotNull() & summable(value).isNull()
+
+
 def _hundredths(numerator: Column, denominator: Column) -> Column:
     """Half-up quotient in hundredths: floor(100 n / d + 1/2) on whole numbers,
     mirrored for negatives."""

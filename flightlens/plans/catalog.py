@@ -18,7 +18,7 @@ from flightlens.operators.lookup import null_safe_join
 from flightlens.operators.rank import group_stats, rank_and_share, rank_overall, rank_within
 from flightlens.plans import refresh as refreshing
 from flightlens.plans.observations import observations, payloads
-from flightlens.plans.reports import COUNTRY_SPEEDS, country_totals, null_to_zero
+from flightlens.plans.reports import COUNTRY_SPEEDS, country_totals, load_stamped, null_to_zero
 from flightlens.plans.states import SKETCH_BITS, States
 from flightlens.schema import (
     ANALYTICS_KEYS,
@@ -200,6 +200,32 @@ def flights_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.flights_analytics(_base(spark, sf_dir))
 
 
+def analytics_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary as one load would have stamped it."""
+    return load_stamped(flights_analytics(spark, sf_dir), LOAD_TIME)
+
+
+def left_out_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Altitudes that no mean can take, for the reports and the same ten billion times as high."""
+    base = _base(spark, sf_dir)
+    scaled = base.withColumns({c: F.col(c) * 1e10 for c in refreshing.AVERAGED})
+    both = base.unionByName(scaled)
+    return both.agg(*[F.count_if(numeric.left_out(F.col(c))).alias(c) for c in refreshing.AVERAGED])
+
+
+def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table by its name in a database, after loads and a compaction."""
+    path = scratch_path(spark, "raw-view")
+    store, name = RawStore(spark, path), f"raw_{path.rpartition('-')[2]}"
+    store.create_view(name)
+    raw = observations(spark, sf_dir)
+    for part in range(2):
+        store.add(raw.filter(F.pmod(F.col("last_contact"), F.lit(2)) == part), f"part-{part}")
+    store.compact()
+    store.create_view(name)
+    return spark.table(f"{name}.raw_flights")
+
+
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.count_by_reason(refreshing.quarantined_reports(_base(spark, sf_dir)))
 
@@ -490,6 +516,9 @@ _PLAIN: dict[str, Query] = {
     "flights_slim": flights_slim,
     "country_stats": country_stats,
     "flights_analytics": flights_analytics,
+    "analytics_stamped": analytics_stamped,
+    "left_out_numbers": left_out_numbers,
+    "raw_view": raw_view,
     "quarantine_counts": quarantine_counts,
     "contract_violations": contract_violations,
     "published_enriched": _published("enriched_flights"),

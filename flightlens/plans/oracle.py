@@ -305,6 +305,16 @@ _SQL = {
         FROM analytics WHERE event_date IS NOT NULL""",
 }
 
+_TRILLION = "CAST(1000000000000 AS DOUBLE)"
+_SQL |= {
+    "raw_view": _SQL["scan_raw"],
+    "analytics_stamped": f"""WITH {_ANALYTICS} SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS load_timestamp
+        FROM analytics""",
+    "left_out_numbers": f"""WITH {_BASE} SELECT
+        CAST(count(*) FILTER (WHERE abs(baro_altitude * 1e10) >= {_TRILLION}) AS BIGINT) AS baro_altitude,
+        CAST(count(*) FILTER (WHERE abs(geo_altitude * 1e10) >= {_TRILLION}) AS BIGINT) AS geo_altitude
+        FROM base""",
+}
 _SQL["created_tables"] = _SQL["country_stats"]
 # Stored states: the same reports as from all rows at once.
 _SQL |= {

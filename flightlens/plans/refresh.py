@@ -8,15 +8,15 @@ entry (:func:`published_path`).  A run that dies leaves readers where they were.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from flightlens.functions import numeric
 from flightlens.functions.flight import event_month
-from flightlens.functions.numeric import two_decimals
 from flightlens.operators import quality
 from flightlens.operators.dedupe import first_reports
 from flightlens.operators.enrich import enrich
@@ -35,12 +35,24 @@ MOST_RANGES = 240
 UNDATED = "undated"
 
 
+#: Numbers that the summaries take the mean of.
+AVERAGED = ("baro_altitude", "geo_altitude")
+
+
 @dataclass(frozen=True)
 class Published:
-    """Rows written and rows kept aside, per table."""
+    """Rows written and rows kept aside, per table, and numbers that no mean could take, per column."""
 
     written: dict[str, int]
     quarantined: dict[str, int]
+    left_out: dict[str, int] = field(default_factory=lambda: dict.fromkeys(AVERAGED, 0))
+
+
+def observe_left_out(enriched: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count, on the pass that uses the reports, the numbers that their means leave out."""
+    observation = Observation()
+    counters = [F.count_if(numeric.left_out(F.col(c))).alias(c) for c in AVERAGED]
+    return enriched.observe(observation, *counters), observation
 
 
 def report_checks() -> dict[str, Column]:
@@ -48,7 +60,7 @@ def report_checks() -> dict[str, Column]:
     speed_lost = F.col("velocity").isNotNull() & F.col("velocity_kmh").isNull()
     checks = {**quality.contract_checks(ENRICHED_LAYOUT), "velocity_kmh_out_of_range": speed_lost}
     for name in ("baro_altitude", "geo_altitude"):
-        lost = F.col(name).isNotNull() & two_decimals(F.col(name)).isNull()
+        lost = F.col(name).isNotNull() & numeric.two_decimals(F.col(name)).isNull()
         checks[f"{name}_out_of_range"] = lost
     return checks
 
@@ -130,7 +142,10 @@ def refresh(
         create_views(spark, LAYOUTS, database)
     root = f"{out}/run-{uuid.uuid4().hex}"
     kept = snapshot(raw, cutoff)
-    base, _ = materialise(enrich(first_reports(kept) if dedupe else kept, rules))
+    seen, observation = observe_left_out(enrich(first_reports(kept) if dedupe else kept, rules))
+    base, _ = materialise(seen)
+    found = quality.observed_values(observation)
+    left_out = {c: found.get(c) or 0 for c in AVERAGED}
     written: dict[str, int] = {}
     aside: dict[str, int] = {}
 
@@ -154,7 +169,7 @@ def refresh(
     _log(spark, out, root.rpartition("/")[2], cutoff, written, aside)
     if database:
         switch_views(spark, LAYOUTS, database, root)
-    return Published(written, aside)
+    return Published(written, aside, left_out)
 
 
 def refresh_months(

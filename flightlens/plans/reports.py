@@ -7,6 +7,8 @@ directly; they need no ranks.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from flightlens.schema import (
 )
 from flightlens.session import materialise
 from flightlens.settings import SCALING, Scaling
+from flightlens.sources.raw import instant
 
 COUNTRY_SPEEDS = ("avg_speed_in_country", "max_speed_in_country", "min_speed_in_country")
 
@@ -101,6 +104,11 @@ def ranked_countries(totals: DataFrame, countries: int, scaling: Scaling = SCALI
     return conform(ranked, COUNTRY_STATS).orderBy(F.desc("total_aircraft"), "origin_country")
 
 
+def load_stamped(summary: DataFrame, moment: datetime | None = None) -> DataFrame:
+    """A summary with the time of its load on every row: one time for all of them."""
+    return summary.withColumn("load_timestamp", F.current_timestamp() if moment is None else instant(moment))
+
+
 def flights_analytics(
     enriched: DataFrame,
     median: str = "exact",

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from flightlens.operators.quality import observed_values
 from flightlens.schema import RAW_FLIGHTS
 from flightlens.sources import folders
+from flightlens.sources.publish import ddl
 from flightlens.sources.raw import instant, read_parquet, snapshot
 
 DAY = "fetch_day"
@@ -159,6 +160,25 @@ class RawStore:
         counts = {c: sum(e[c] for e in few) for c in ("rejected", "unreadable")}
         return self.add(self.read(names=names), f"compact-{uuid.uuid4().hex}", replaces=names, **counts)
 
+    def create_view(self, database: str, name: str = "raw_flights") -> None:
+        """The table under a name of a database: there before anything is loaded, and turned to
+        the loads of the log whenever it is called again."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        columns = ", ".join(f"`{c}`" for c in RAW_FLIGHTS.names)
+        live = [e["load"] for e in self.loads() if e["loaded"]]
+        if not live:
+            empty = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in RAW_FLIGHTS)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {empty} WHERE false")
+            return
+        files = f"{database}.{name}__loads"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {files} ({ddl(RAW_FLIGHTS)}, {DAY} date, `load` string) "
+            f"USING parquet PARTITIONED BY (`load`, {DAY}) LOCATION '{self.path}'"
+        )
+        self.spark.sql(f"ALTER TABLE {files} RECOVER PARTITIONS")
+        wanted = ", ".join(f"'{load}'" for load in live)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM {files} WHERE `load` IN ({wanted})")
+
     def sweep(self, idle: timedelta, now: datetime | None = None) -> list[str]:
         """Remove the files of loads that compaction replaced, and of those that died, once
         they are at rest for ``idle``: longer than any reader or load takes."""

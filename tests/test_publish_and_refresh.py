@@ -336,3 +336,14 @@ def test_tables_are_there_before_and_after_a_load(spark, year, tmp_path, monkeyp
     assert spark.table(f"{base}.country_stats").count() == 2
     assert not any(old.replace("-", "_") in r["tableName"] for r in spark.sql(f"SHOW TABLES IN {base}").collect())
     spark.sql(f"DROP DATABASE {base} CASCADE")
+
+
+def test_numbers_left_out_of_means_are_counted(reports, tmp_path):
+    rows = reports({}, {"baro_altitude": 1e12}, {"baro_altitude": float("nan")}, {"geo_altitude": float("-inf")}, {"baro_altitude": None})
+    done = refresh(rows.withColumn("fetch_time", F.lit(datetime(2024, 1, 1, tzinfo=UTC))).select(*RAW_FLIGHTS.names), str(tmp_path))
+    assert done.left_out == {"baro_altitude": 2, "geo_altitude": 1}
+
+
+def test_a_load_stamp_is_one_time(year):
+    stamped = plans.reports.load_stamped(plans.flights_analytics(enrich(year)))
+    assert stamped.select("load_timestamp").distinct().count() == 1

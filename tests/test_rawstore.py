@@ -107,3 +107,16 @@ def test_sweep_removes_what_no_reader_needs(store, reports):
     assert sorted(store.sweep(timedelta(days=1), later)) == sorted([*(f"load=day-{i}" for i in range(4)), "load=dead"])
     assert rows_of(store.read()) == before
     assert {p.name for p in Path(store.path).glob("load=*")} == {f"load={entry['load']}"}
+
+
+def test_a_view_is_there_before_and_after_loads(spark, reports, store, tmp_path):
+    RawStore(spark, f"{tmp_path}/none").create_view("raw_test")
+    assert spark.table("raw_test.raw_flights").columns == RAW_FLIGHTS.names and spark.table("raw_test.raw_flights").count() == 0
+    store.create_view("raw_test")
+    wanted = rows_of(store.read())
+    assert rows_of(spark.table("raw_test.raw_flights")) == wanted
+    store.compact()
+    assert rows_of(spark.table("raw_test.raw_flights")) == wanted
+    store.create_view("raw_test")
+    assert rows_of(spark.table("raw_test.raw_flights")) == wanted
+    spark.sql("DROP DATABASE raw_test CASCADE")
