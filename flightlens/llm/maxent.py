@@ -343,8 +343,9 @@ def score(docs: DataFrame, train: Column, rounds: int = ROUNDS, head_size: int =
             )
 
     schema = f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double, tail array<binary>"
-    made = work_table(texts.mapInArrow(scored, schema), "maxent-scores")
-    made = made.withColumn("_row", F.monotonically_increasing_id())
+    # The number is written with its row: two scans of the table may be split in different ways.
+    made = texts.mapInArrow(scored, schema).withColumn("_row", F.monotonically_increasing_id())
+    made = work_table(made, "maxent-scores")
     found = made.select("_row", F.explode("tail").alias("token")).join(counts, "token", "left")
     added = found.groupBy("_row").agg(
         F.sum(F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("_log"), F.count("n").alias("_known")
