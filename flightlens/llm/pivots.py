@@ -20,15 +20,16 @@ exact (the caller's vectors are whole numbers, added as 64-bit integers or
 doubles without rounding); distances only prune, with a margin for rounding.
 
 Nulls and edge cases: rows with a null id, a null vector or null or non-finite
-components take no part; nor do vectors whose length differs from that of most
-(the commonest length; the largest of equals).  Ties go to the smaller id.  Of
-repeated rows with one id each is a candidate; none is a candidate for its own
-id; a query repeated as a row is answered once.  With fewer candidates than k all
+components take no part.  Vectors of several lengths have an index for each length, and
+a query is answered from its own.  Ties go to the smaller id.  Of repeated rows with one
+id each is a candidate; none is a candidate for its own id; a query repeated as a row is
+answered once for each length, for its smallest vector.  With fewer candidates than k all
 are returned.  Other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,31 +164,37 @@ def _open_cells(index: Index, queries: DataFrame, first: bool, k: int) -> DataFr
 
 
 def best_of_block(
-    query_ids: np.ndarray, q: np.ndarray, bounds: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
+    query_ids: np.ndarray, q: np.ndarray, bounds: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, whole: bool = False
 ) -> pd.DataFrame:
     """The k best rows of a block for each query, ties to the smaller id, not below the bound."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
+    none = -np.inf
+    if whole and np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * x.shape[1] >= 2.0**53:
+        # Sums wrap around on the way and come out right where they fit.
+        q, x, none = q.astype(np.int64), x.astype(np.int64), np.iinfo(np.int64).min
+        # The bound is a sum too, rounded to a double.
+        bounds = np.nextafter(bounds, -np.inf)
     found = []
     for at in range(0, len(q), 256):
         rows = slice(at, at + 256)
         score = q[rows] @ x.T
-        score[query_ids[rows, None] == ids[None, :]] = -np.inf
+        score[query_ids[rows, None] == ids[None, :]] = none
         keep = min(k, score.shape[1])
         kth = np.partition(score, score.shape[1] - keep, axis=1)[:, score.shape[1] - keep]
-        wanted = (score >= np.maximum(kth, bounds[rows])[:, None]) & (score > -np.inf)
+        wanted = (score >= kth[:, None]) & (score.astype(np.float64) >= bounds[rows][:, None]) & (score > none)
         row, col = np.nonzero(wanted)
         # Rows come in order of id: of equal scores the first ones are kept.
-        sort = np.lexsort((col, -score[row, col], row))
+        sort = np.lexsort((-col, score[row, col], -row))[::-1]
         row, col = row[sort], col[sort]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         row, col = row[place < k], col[place < k]
         found.append((query_ids[rows][row], ids[col], score[row, col]))
     ids_, vecs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
-    return pd.DataFrame({"query_id": ids_, "vec_id": vecs, "score": scores})
+    return pd.DataFrame({"query_id": ids_, "vec_id": vecs, "score": scores.astype(np.int64) if whole else scores})
 
 
-def _search_cells(index: Index, opened: DataFrame, k: int) -> DataFrame:
+def _search_cells(index: Index, opened: DataFrame, k: int, whole: bool) -> DataFrame:
     """Scores of the opened cells: each cell meets the queries that open it."""
 
     def score(queries: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
@@ -195,12 +202,12 @@ def _search_cells(index: Index, opened: DataFrame, k: int) -> DataFrame:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         bounds = queries["bound"].fillna(-np.inf).to_numpy(np.float64)
         return best_of_block(
-            queries["query_id"].to_numpy(), _matrix(queries["vector"]), bounds, cell["id"].to_numpy(), _matrix(cell["vector"]), k
+            queries["query_id"].to_numpy(), _matrix(queries["vector"]), bounds, cell["id"].to_numpy(), _matrix(cell["vector"]), k, whole
         )
 
     keys = ["pivot", "annulus", "part"]
     return (
-        opened.groupBy(*keys).cogroup(index.cells.groupBy(*keys)).applyInPandas(score, "query_id bigint, vec_id bigint, score double")
+        opened.groupBy(*keys).cogroup(index.cells.groupBy(*keys)).applyInPandas(score, f"query_id bigint, vec_id bigint, score {_kind(whole)}")
     )
 
 
@@ -210,27 +217,39 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOTS, annuli: int = ANNULI) -> DataFrame:
+def _kind(whole: bool) -> str:
+    return "bigint" if whole else "double"
+
+
+def search(
+    vectors: DataFrame, queries: DataFrame, k: int, pivots: int = PIVOTS, annuli: int = ANNULI, whole: bool = False
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best by inner product for each query.
 
     ``vectors`` and ``queries`` have columns id and vector; a query's own id is
-    no candidate.
+    no candidate.  With ``whole`` the components are whole numbers, and the scores too.
     """
-    index = build(vectors, pivots, annuli)
-    if index is None:
-        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     asked = queries.where(F.col("id").isNotNull() & usable(F.col("vector")))
-    asked = asked.where(F.size("vector") == index.pivots.shape[1] - 1).dropDuplicates(["id"])
+    # An inner product needs two vectors of one length; a table has few lengths.
+    lengths = sorted(r["n"] for r in asked.select(F.size("vector").alias("n")).distinct().collect())
+    found = []
+    for n in lengths:
+        index = build(vectors.where(F.size("vector") == n), pivots, annuli)
+        if index is not None:
+            found.append(_answers(index, asked.where(F.size("vector") == n), k, whole))
+    if not found:
+        return vectors.sparkSession.createDataFrame([], f"query_id bigint, rank int, vec_id bigint, score {_kind(whole)}")
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _answers(index: Index, asked: DataFrame, k: int, whole: bool) -> DataFrame:
+    asked = asked.groupBy("id").agg(F.min(F.col("vector").cast("array<double>")).alias("vector"))
     asked = work_table(
-        asked.select(
-            F.col("id").cast("bigint").alias("query_id"),
-            F.col("vector").cast("array<double>").alias("vector"),
-            F.lit(None).cast("double").alias("bound"),
-        ),
+        asked.select(F.col("id").cast("bigint").alias("query_id"), "vector", F.lit(None).cast("double").alias("bound")),
         "pivot-queries",
     )
-    first = work_table(_best(_search_cells(index, _open_cells(index, asked, True, k), k), k), "pivot-first")
-    bounds = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+    first = work_table(_best(_search_cells(index, _open_cells(index, asked, True, k), k, whole), k), "pivot-first")
+    bounds = first.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("bound"))
     bounded = asked.drop("bound").join(bounds, "query_id", "left")
-    rest = _search_cells(index, _open_cells(index, bounded, False, k), k)
+    rest = _search_cells(index, _open_cells(index, bounded, False, k), k, whole)
     return _best(first.drop("rank").unionByName(rest), k).select("query_id", "rank", "vec_id", "score")

@@ -58,6 +58,21 @@ def test_edge_cases(spark):
     vectors = spark.createDataFrame(rows, "id bigint, vector array<double>").selectExpr("*", "1 AS score", "2 AS rank")
     found = sorted(map(tuple, pivots.search(vectors, vectors.where("id IN (0, 5, 6, 7)"), 10).collect()))
     good = [(0, (1, 0)), (5, (0, 0)), (6, (1, 0)), (6, (1, 0)), (8, (-1, 0))]
-    assert found == brute(good, {0, 5, 6}, 10)
+    assert found == sorted([*brute(good, {0, 5, 6}, 10), *brute([(7, (1, 2, 3))], {7}, 10)])
     assert pivots.search(vectors.limit(0), vectors, 10).count() == 0
     assert pivots.search(vectors, vectors.limit(0), 10).count() == 0
+
+
+def test_large_components_and_two_lengths(spark):
+    """Inner products far past 2^53, and past the doubles between."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.integers(-(2**27), 2**27, 24 if i % 3 else 7).tolist()) for i in range(300)]
+    rows += [(300 + i, rows[i][1]) for i in range(30)]
+    vectors = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in rows], "id bigint, vector array<double>")
+    found = sorted(map(tuple, pivots.search(vectors, vectors.where("id % 10 = 0"), 8, pivots=5, annuli=3, whole=True).collect()))
+    wanted = []
+    for q, v in rows:
+        if q % 10 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, x)), i) for i, x in rows if i != q and len(x) == len(v))[:8]
+            wanted += [(q, n + 1, i, -score) for n, (score, i) in enumerate(scored)]
+    assert found == sorted(wanted) and max(abs(r[3]) for r in found) > 2**55
