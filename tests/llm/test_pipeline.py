@@ -40,3 +40,20 @@ def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    """Nulls, empty and long texts, repeated rows and odd column names pass through all stages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = docs.where("lang = 'en'").limit(20)
+    first = good.first()
+    odd = [(None, first["text"], "en", "s", 1), (9_000_001, None, None, None, None), (9_000_002, "", "en", "", 0),
+           (9_000_003, first["text"] * 40, "en", "s", 1), (9_000_003, first["text"] * 40, "en", "s", 1)]
+    mixed = good.unionByName(spark.createDataFrame(odd, docs.schema)).selectExpr("*", "'x' AS _fp", "1 AS ids", "2 AS score", "3 AS row")
+    kept = mixed
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        assert kept.columns == mixed.columns, name
+    assert kept.where("doc_id = 9000003").count() <= 1
+    packed = corpus_pipeline.pack(spark, kept, SF)
+    assert packed.where("start = 0").count() == kept.count()
