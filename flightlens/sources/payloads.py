@@ -64,11 +64,19 @@ def _quoted(text: Column, bare: str) -> Column:
     return F.translate(marked, "\u0001\u0002", '""')
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row.
+
+    A filter on a plain column gets a copy of its expression for each use and is pushed down
+    with it.  No filter on what a generator gives is moved below the generator.
+    """
+    return df.select(*df.columns, F.explode(F.array(value)).alias(name))
+
+
 def parse_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
     """Add ``states`` (NULL when there is nothing to load) and ``payload_status``."""
-    parsed = payloads.withColumn("_json", F.try_parse_json(readable(F.col(text)))).withColumn(
-        "states", F.try_variant_get("_json", "$.states", "array<variant>")
-    )
+    read = with_once(payloads, "_json", F.try_parse_json(readable(F.col(text))))
+    parsed = with_once(read, "states", F.try_variant_get("_json", "$.states", "array<variant>"))
     status = (
         F.when(F.coalesce(F.trim(text), F.lit("")).rlike(r"^\s*$"), EMPTY)
         .when(F.col("_json").isNull(), MALFORMED)
@@ -89,16 +97,19 @@ def explode_states(parsed: DataFrame, cap: int | None = None, text: str = "value
     The payload text stays behind: it would be copied onto each of its records.
     """
     others = [c for c in parsed.columns if c not in (text, "states", "payload_status")]
-    unread = F.col("payload_status") == MALFORMED
+    unread, ok = F.col("payload_status") == MALFORMED, F.col("payload_status") == OK
     one = F.array(F.lit(None).cast("variant"))
-    rows = parsed.filter((F.col("payload_status") == OK) | unread)
-    # Nulls in the place of the text for readable payloads: it is not copied.
-    kept = rows.select(
+    # Nulls in the place of the text for readable payloads, before there is a row per record.
+    rows = parsed.select(
         *others,
+        "states",
+        "payload_status",
         F.when(unread, F.col(text)).alias("record"),
         F.when(unread, F.lit(MALFORMED)).alias("payload_reason"),
-        F.posexplode(F.when(unread, one).otherwise(F.col("states"))).alias("position", "state"),
     )
+    # A NULL list gives no row.
+    listed = F.when(unread, one).when(ok, F.col("states"))
+    kept = rows.select(*others, "record", "payload_reason", F.posexplode(listed).alias("position", "state"))
     if cap is None:
         return kept
     over = F.col("payload_reason").isNull() & (F.col("position") >= cap)
@@ -114,7 +125,8 @@ def type_states(
     rejected only when the raw table could not take it.
     """
     # Every element is read once, into its kind and text.
-    listed = records.withColumn("_fields", F.transform(F.try_variant_get("state", "$", "array<variant>"), coerce.parts))
+    read = F.transform(F.try_variant_get("state", "$", "array<variant>"), coerce.parts)
+    listed = with_once(records, "_fields", read)
     elements = {name: F.get("_fields", F.lit(i)) for name, i in positions.items()}
 
     typed: dict[str, Column] = {}
@@ -136,11 +148,10 @@ def type_states(
                 whole = coerce.is_whole(elements[name])
                 checks[f"{name}_out_of_range"] = F.col(name).isNull() & whole
     rows = listed.withColumns({**typed, "fetch_time": fetch_time})
-    rows = quality.with_reasons(rows, {**checks, **quality.text_length_checks()})
+    found = quality.reasons({**checks, **quality.text_length_checks()})
     if "payload_reason" in records.columns:
-        found = F.array_compact(F.array("payload_reason"))
-        rows = rows.withColumn(quality.REASONS, F.concat(found, quality.REASONS))
-    return rows.drop("_fields")
+        found = F.concat(F.array_compact(F.array("payload_reason")), found)
+    return with_once(rows, quality.REASONS, found).drop("_fields")
 
 
 def raw_from_payloads(

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from flightlens.functions import coerce
+from flightlens.operators import quality
 from flightlens.sources.payloads import (
+    MALFORMED,
     accepted_rows,
     explode_states,
     parse_payloads,
@@ -221,6 +223,17 @@ def test_an_element_is_read_once(spark):
     assert plan.count("try_variant_get") <= 5
 
 
+def _reads(rows):
+    """How often the plan parses a payload and reads an element."""
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("parseJson"), plan.count("schemaOfVariant")
+
+
+def test_unread_payloads_are_found_with_one_read(spark):
+    typed = load(spark, GOOD)
+    assert _reads(typed.filter(F.array_contains(quality.REASONS, MALFORMED))) == (1, 1)
+
+
 def test_marks_of_bare_words_are_refused(spark):
     text = '{"states": [["abc\x01", "\x02", NaN]]}'
     rows = raw_from_payloads(spark.createDataFrame([(text,)], "value string"), LOADED)
