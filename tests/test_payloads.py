@@ -238,6 +238,12 @@ def test_good_records_are_found_with_one_read(spark):
     assert _reads(accepted_rows(load(spark, GOOD))) == (1, 1)
 
 
+def test_rejects_are_found_with_one_read(spark):
+    typed = load(spark, GOOD)
+    assert _reads(rejected_rows(typed)) == (1, 1)
+    assert _reads(typed.filter(F.col("payload_reason").isNull())) == (1, 1)
+
+
 def test_marks_of_bare_words_are_refused(spark):
     text = '{"states": [["abc\x01", "\x02", NaN]]}'
     rows = raw_from_payloads(spark.createDataFrame([(text,)], "value string"), LOADED)
