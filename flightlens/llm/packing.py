@@ -85,7 +85,7 @@ def idf_table(rest: DataFrame, vocabulary: int) -> tuple[np.ndarray, float]:
         for batch in batches:
             for data in batch["ids16"].to_pylist():
                 ids = np.frombuffer(data, wide)
-                found[np.unique(ids)] += 1
+                found[ids] += 1  # once for an id that repeats: numpy does not add up equal places
                 rows, tokens = rows + 1, tokens + len(ids)
         term = np.flatnonzero(found)
         term, n = np.concatenate((term, [-1, -2])), np.concatenate((found[term], [rows, tokens]))
@@ -184,8 +184,10 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, window: int = WINDOW, s
         idf, found = shared.value, np.zeros((len(values), 2), np.int32)
         for i, data in enumerate(values):
             term, n = np.unique(np.frombuffer(data, wide), return_counts=True)
-            best = np.argsort(-(n * idf[term]), kind="stable")[:2]
-            found[i, : len(best)] = term[best]
+            weight = n * idf[term]
+            for place in range(min(2, len(term))):
+                best = weight.argmax()
+                found[i, place], weight[best] = term[best], -np.inf
         return pd.DataFrame(found, columns=["one", "two"])
 
     shards = max(1, -(-rest.count() // shard_rows))

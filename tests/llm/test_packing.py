@@ -105,3 +105,11 @@ def test_edge_cases(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS row", "2 AS ids", "3 AS length")
     check(packing.pack(docs, *bpe.public_vocabulary(), shard_rows=3).collect(), rows, 1024)
     assert packing.pack(docs.limit(0), *bpe.public_vocabulary()).count() == 0
+
+
+def test_a_term_that_repeats_in_a_piece_counts_once(spark):
+    pieces = [np.array(p, "<u2").tobytes() for p in ([3, 3, 5, 3], [5, 5], [7])]
+    idf, mean = packing.idf_table(spark.createDataFrame([(p,) for p in pieces], "ids16 binary"), 10)
+    df = np.zeros(10)
+    df[[3, 5, 7]] = 1, 2, 1
+    assert np.allclose(idf, np.log1p((3 - df + 0.5) / (df + 0.5))) and mean == 7 / 3
