@@ -15,15 +15,20 @@ REPORT_KEY = ("icao24", "time_position")
 def first_reports(df: DataFrame, keys: Sequence[str] = REPORT_KEY, arrival: str = "fetch_time") -> DataFrame:
     """Keep the earliest copy of each report.
 
-    A row with a NULL key has no identity and is kept: a number of its own keeps it apart
-    from all others, so the source is read once.  The copies are reduced to one per task
-    before the shuffle, so a report repeated in a third of all rows stays cheap.
+    A row with a NULL key has no identity and is kept.  The copies are reduced
+    to one per task before the shuffle, so a report repeated in a third of all
+    rows stays cheap.
     """
     others = [c for c in df.columns if c not in keys and c != arrival]
-    alone = F.when(~_identified(keys), F.monotonically_increasing_id())
-    first = F.min(F.struct(arrival, *others)).alias("_first")
-    kept = df.withColumn("_alone", alone).groupBy(*keys, "_alone").agg(first)
-    return kept.select(*keys, "_first.*").select(*df.columns)
+    identified = _identified(keys)
+    kept = (
+        df.filter(identified)
+        .groupBy(*keys)
+        .agg(F.min(F.struct(arrival, *others)).alias("_first"))
+        .select(*keys, "_first.*")
+        .select(*df.columns)
+    )
+    return kept.unionByName(df.filter(~identified))
 
 
 def first_reports_in_stream(
